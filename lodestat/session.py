@@ -22,6 +22,7 @@ def local_session(app: str = "lodestat", cpus: str = "*", shuffle_partitions: in
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
