@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestat.operators.frames import rank_within
+from lodestat.session import cut
 
 # --- points with a group label -------------------------------------------------
 
@@ -65,7 +66,7 @@ def friends(t) -> tuple[DataFrame, DataFrame]:
         .join(n.toDF("a", "src"), "a").join(n.toDF("b", "dst"), "b").select("src", "dst", "s"))
     floor = pairs.agg(F.avg("s") + 1.5 * F.stddev_pop("s")).scalar()
     edges = pairs.filter((F.col("s") > floor) & (F.col("src") != F.col("dst"))).select("src", "dst", F.col("s").alias("score"))
-    return n.select(F.col("n_name").alias("node")), edges
+    return n.select(F.col("n_name").alias("node")), cut(edges)
 
 
 FRIENDS_SQL = """pairs AS (SELECT cn.n_name AS src, sn.n_name AS dst, round(avg(l_discount), 9) AS s
