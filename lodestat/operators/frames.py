@@ -184,3 +184,9 @@ def common_neighbours(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     far = edges.select(F.col("src").alias("other"), F.col("dst").alias("via"))
     shared = pairs.join(near, "node").join(far, ["other", "via"]).groupBy("node", "other").agg(F.count(F.lit(1)).alias("common"))
     return pairs.join(shared, ["node", "other"], "left").select("node", "other", F.coalesce("common", F.lit(0)).alias("common"))
+
+
+def strongest_weights(weights: DataFrame, key: str, weight: str, k: int = 30) -> DataFrame:
+    """The ``k`` rows of largest absolute weight with their ``side``; ties by key."""
+    top = weights.orderBy(F.desc(F.abs(weight)), key).limit(k)
+    return top.withColumn("side", F.when(F.col(weight) > 0, "positive").otherwise("negative"))

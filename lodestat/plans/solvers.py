@@ -123,7 +123,7 @@ def o06(t):
 @query("o07_optimum_and_gaps")
 def o07(t):
     s = problem(t)
-    _, best, _ = s.solve(rounds=60, tol=1e-7)
+    _, best, _ = s.solve(rounds=40, tol=1e-4)
     _, h = s.descend("exact", rounds=4)
     return gap_history(t.spark, {"exact": h}, best)
 

@@ -54,9 +54,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in reliable storage and drop its lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` below the shared folder and go on from the written table.
+
+    The table survives lost executors, carries exact sizes for the join planner, and
+    unlike a checkpointed plan brings no inherited constraints, which in a loop would
+    double with every round.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def fits(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
