@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestat.operators.frames import endpoints, rank_within
+from lodestat.operators.ordering import number_rows
 from lodestat.session import cut
 
 
@@ -57,24 +58,21 @@ def triangles(edges: DataFrame, by: list[str] = ()) -> DataFrame:
     sqrt(2E) of them and hubs do not blow up the wedge join.
     """
     by = list(by)
-    nodes = endpoints(edges, by)
-    deg = degrees(nodes, edges, by)
-    ranked = (
-        edges.join(deg.withColumnsRenamed({"node": "src", "degree": "_ds"}), [*by, "src"])
-        .join(deg.withColumnsRenamed({"node": "dst", "degree": "_dd"}), [*by, "dst"])
+    deg = degrees(endpoints(edges, by), edges, by)
+    # one number per node over all graphs, rising with degree: joins carry numbers, not names
+    ids = cut(number_rows(deg, ["degree", *by, "node"], "id")).select(*by, "node", "id")
+    numbered = (
+        edges.join(ids.withColumnsRenamed({"node": "src", "id": "_a"}), [*by, "src"])
+        .join(ids.withColumnsRenamed({"node": "dst", "id": "_b"}), [*by, "dst"])
     )
-    up = (F.col("_ds") < F.col("_dd")) | ((F.col("_ds") == F.col("_dd")) & (F.col("src") < F.col("dst")))
-    oriented = ranked.select(
-        *by, F.when(up, F.col("src")).otherwise(F.col("dst")).alias("low"),
-        F.when(up, F.col("dst")).otherwise(F.col("src")).alias("high"))
-    a = oriented.withColumnRenamed("high", "x")
-    b = oriented.withColumnRenamed("high", "y")
-    wedge = a.join(b, [*by, "low"]).filter("x < y")
-    closing = edges.withColumnsRenamed({"src": "x", "dst": "y"})
-    closed = wedge.join(closing, [*by, "x", "y"])
+    up = cut(numbered.select(F.least("_a", "_b").alias("low"), F.greatest("_a", "_b").alias("high")))
+    a, b = up.withColumnRenamed("high", "x"), up.withColumnRenamed("high", "y")
+    wedge = a.join(b, "low").filter("x < y")
+    closed = wedge.join(up.withColumnsRenamed({"low": "x", "high": "y"}), ["x", "y"])
     return (
-        closed.select(*by, F.explode(F.array("low", "x", "y")).alias("node"))
-        .groupBy(*by, "node").agg(F.count(F.lit(1)).alias("triangles"))
+        closed.select(F.explode(F.array("low", "x", "y")).alias("id"))
+        .groupBy("id").agg(F.count(F.lit(1)).alias("triangles"))
+        .join(ids, "id").select(*by, "node", "triangles")
     )
 
 

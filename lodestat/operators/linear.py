@@ -62,28 +62,29 @@ def _design(df: DataFrame, x: Terms, y: Column) -> DataFrame:
     return df.select("*", *cols)
 
 
+# Wider designs are multiplied batch by batch in tasks: their sums would not compile well.
+WIDE = 5
+
+
 def gram(df: DataFrame, x: Terms, y: Column, where: Column | None = None) -> Gram:
     """Means first, then centred products: two scans, one row each.  Rows with nulls drop out."""
-    d = _design(df.filter(where) if where is not None else df, x, y)
-    names = [*x, "(response)"]
-    cols = [f"x{i}" for i in range(len(names))]
-    d = d.select(*cols).na.drop()
-    head = d.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in cols]).first()
-    mean = np.array([head[c] for c in cols], float)
-    row = d.agg(*_products([F.col(c) - F.lit(float(m)) for c, m in zip(cols, mean)])).first()
-    return Gram(names, float(head["n"]), mean, _matrix(row, len(names)))
+    whole, _ = _grams(df.filter(where) if where is not None else df, x, y, F.lit(0))
+    return whole
 
 
 def fold_grams(df: DataFrame, x: Terms, y: Column, fold: Column) -> tuple[Gram, dict[int, Gram]]:
     """The whole Gram and one per fold, all centred at the same point, in two scans."""
+    return _grams(df, x, y, fold)
+
+
+def _grams(df: DataFrame, x: Terms, y: Column, fold: Column) -> tuple[Gram, dict[int, Gram]]:
     names = [*x, "(response)"]
-    cols = [f"x{i}" for i in range(len(names))]
-    d = _design(df, x, y).select(fold.alias("_f"), *cols).na.drop()
+    p = len(names)
+    cols = [f"x{i}" for i in range(p)]
+    d = _design(df, x, y).select(fold.cast("bigint").alias("_f"), *cols).na.drop()
     head = d.agg(*[F.avg(c).alias(c) for c in cols]).first()
     centre = np.array([head[c] for c in cols], float)
-    moved = [F.col(c) - F.lit(float(m)) for c, m in zip(cols, centre)]
-    rows = d.groupBy("_f").agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"t{i}") for i, c in enumerate(moved)], *_products(moved)).collect()
-    raw = {r["_f"]: (float(r["n"]), np.array([r[f"t{i}"] for i in range(len(cols))]), _matrix(r, len(cols))) for r in rows}
+    raw = _wide_sums(d, cols, centre) if p > WIDE else _compiled_sums(d, cols, centre)
 
     def build(n, t, m):
         return Gram(names, n, centre + t / n, m - np.outer(t, t) / n)
@@ -92,6 +93,33 @@ def fold_grams(df: DataFrame, x: Terms, y: Column, fold: Column) -> tuple[Gram,
     return build(*total), {f: build(*v) for f, v in raw.items()}
 
 
+def _compiled_sums(d: DataFrame, cols: list[str], centre: np.ndarray) -> dict:
+    moved = [F.col(c) - F.lit(float(m)) for c, m in zip(cols, centre)]
+    rows = d.groupBy("_f").agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"t{i}") for i, c in enumerate(moved)], *_products(moved)).collect()
+    return {r["_f"]: (float(r["n"]), np.array([r[f"t{i}"] for i in range(len(cols))]), _matrix(r, len(cols))) for r in rows}
+
+
+def _wide_sums(d: DataFrame, cols: list[str], centre: np.ndarray) -> dict:
+    """Each task adds up its own matrices; (1 + p + p^2) numbers per task and fold are summed."""
+    p = len(cols)
+
+    def run(frames):
+        acc: dict = {}
+        for pdf in frames:
+            m = pdf[cols].to_numpy(float) - centre
+            f = pdf["_f"].to_numpy()
+            for k in np.unique(f):
+                z = m[f == k]
+                acc[k] = acc.get(k, 0) + np.concatenate([[len(z)], z.sum(axis=0), (z.T @ z).ravel()])
+        yield pd.DataFrame({"_f": list(acc), "v": list(acc.values())})
+
+    parts = d.mapInPandas(run, "_f bigint, v array<double>").select("_f", F.posexplode("v").alias("i", "x"))
+    out: dict = {}
+    for r in parts.groupBy("_f", "i").agg(F.sum("x").alias("x")).collect():
+        out.setdefault(r["_f"], np.zeros(1 + p + p * p))[r["i"]] = r["x"]
+    return {f: (float(v[0]), v[1:1 + p], v[1 + p:].reshape(p, p)) for f, v in out.items()}
+
+
 def minus(whole: Gram, part: Gram) -> Gram:
     """Gram of the rows outside ``part``."""
     n = whole.n - part.n
@@ -324,13 +352,25 @@ def best_subsets(spark, g: Gram) -> DataFrame:
 
 
 def loocv(df: DataFrame, fits: dict[str, Fit], x: Terms, y: Column) -> DataFrame:
-    """Exact leave-one-out error of every model, all in one pass."""
-    # the design is computed once per row and then only referred to
-    d = df.select(y.alias("_y"), *[c.alias(f"_x{i}") for i, c in enumerate(x.values())])
-    ref = {name: F.col(f"_x{i}") for i, name in enumerate(x)}
-    parts = [F.avg(F.pow((F.col("_y") - f.predict(ref)) / (1 - f.leverage(ref)), F.lit(2.0))).alias(f"m{i}") for i, f in enumerate(fits.values())]
-    row = d.agg(*parts)
-    return row.select(F.inline(F.array(*[F.struct(F.lit(n).alias("model"), F.col(f"m{i}").alias("cv_error")) for i, n in enumerate(fits)])))
+    """Exact leave-one-out error of every model, all in one pass; tasks return sums only."""
+    names = list(x)
+    d = df.select(y.cast("double").alias("_y"), *[c.alias(f"_x{i}") for i, c in enumerate(x.values())])
+    models = [([names.index(t) for t in f.g.terms], f.beta, f.intercept, f.g.mean[: f.p], f.inv, f.g.n) for f in fits.values()]
+
+    def run(frames):
+        sums, n = np.zeros(len(models)), 0
+        for pdf in frames:
+            m = pdf.to_numpy(float)
+            n += len(m)
+            for k, (idx, beta, b0, mean, inv, size) in enumerate(models):
+                z = m[:, [1 + i for i in idx]]
+                gap = z - mean
+                h = 1 / size + np.einsum("ij,jk,ik->i", gap, inv, gap)
+                sums[k] += (((m[:, 0] - b0 - z @ beta) / (1 - h)) ** 2).sum()
+        yield pd.DataFrame({"model": list(fits), "s": sums, "n": n})
+
+    return (d.na.drop().mapInPandas(run, "model string, s double, n bigint")
+            .groupBy("model").agg((F.sum("s") / F.sum("n")).alias("cv_error")))
 
 
 def kfold(df: DataFrame, models: dict[str, list[str]], x: Terms, y: Column, fold: Column) -> list[tuple[str, float]]:
@@ -339,5 +379,5 @@ def kfold(df: DataFrame, models: dict[str, list[str]], x: Terms, y: Column, fold
     out = []
     for name, terms in models.items():
         sse = sum(Fit(minus(whole, g).keep(terms)).cross_error(g.keep(terms)) for g in parts.values())
-        out.append((name, sse / whole.n))
+        out.append((name, float(sse / whole.n)))
     return out

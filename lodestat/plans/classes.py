@@ -106,7 +106,7 @@ _RULE = "avg_len / 10"
 
 
 def ruled(t):
-    return scored(t).withColumn("score", r(F.col("avg_len") / 10, 9))
+    return cut(scored(t).withColumn("score", r(F.col("avg_len") / 10, 9)))
 
 
 _RULED_SQL = f"{S.SCORED_SQL}, ru AS (SELECT doc_id, quality, toxic, round({_RULE}, 9) AS score FROM sd)"

@@ -30,6 +30,10 @@ def query(key: str, sql: str | None = None):
     return register
 
 
+# Tables whose rows are long texts.
+TEXT_TABLES = ("documents", "conversations")
+
+
 class Tables:
     """Attribute access to the parquet tables of one directory."""
 
@@ -43,4 +47,13 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(self.path(name))
+        df = self.spark.read.parquet(self.path(name))
+        return self._widened(df) if name in TEXT_TABLES else df
+
+    def _widened(self, df: DataFrame) -> DataFrame:
+        """Spreads a table of few files over all cores, because per-row text work is heavy.
+
+        A table of many files has enough splits and is left as it is.
+        """
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if len(df.inputFiles()) * 2 <= cores else df
