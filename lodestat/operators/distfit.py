@@ -20,6 +20,8 @@ MODELS = ("geometric", "poisson", "zeta2", "zeta", "zeta_truncated", "altmann")
 FREE = {"geometric": 1, "poisson": 1, "zeta2": 0, "zeta": 1, "zeta_truncated": 2, "altmann": 2}
 
 _EXACT = 16
+# Support points generated together.
+_SUPPORT = 10_000
 
 
 def log_factorial(k: Column) -> Column:
@@ -206,7 +208,11 @@ def fitted_pmf(degrees: DataFrame, fits: DataFrame, by: list[str], k_max: int |
         return pd.Series([one(*x) for x in zip(model, p1, p2, n)])
 
     params = fits.select(*by, "model", "p1", "p2", log_norm("model", "p1", "p2", F.col("n").cast("double")).alias("_norm"))
-    grid = params.join(top, by).withColumn("degree", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_top"))))
+    # blocks first, so that a long support is neither one array nor one task's work
+    block = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_top") - 1) / _SUPPORT))
+    grid = params.join(top, by).withColumn("_b", F.explode(block)).repartition(*by, "model", "_b")
+    lo = F.col("_b") * _SUPPORT + 1
+    grid = grid.withColumn("degree", F.explode(F.sequence(lo, F.least(lo + _SUPPORT - 1, F.col("_top")))))
     lp = None
     for m in MODELS:
         e = log_pmf(m, F.col("degree"), F.col("p1"), F.col("p2"), F.col("_norm"))

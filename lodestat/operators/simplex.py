@@ -9,6 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestat.operators.linear import gram, terms_of
 from lodestat.operators.ordering import running_total
 
 
@@ -40,14 +41,13 @@ Oracle = Callable[[np.ndarray], tuple[float, np.ndarray]]
 
 
 def squared_loss(df: DataFrame, features: list[str], y: str) -> Oracle:
-    """Half mean squared error and its gradient; each call is one pass over ``df``."""
+    """Half mean squared error and its gradient, from the second moments: one pass in all."""
+    g = gram(df, terms_of(features), F.col(y))
+    second = g.s / g.n + np.outer(g.mean, g.mean)
+    a, c, yy = second[:-1, :-1], second[:-1, -1], float(second[-1, -1])
+
     def call(w):
-        e = -F.col(y)
-        for f, v in zip(features, w):
-            e = e + F.col(f) * float(v)
-        r = df.select(e.alias("_e"), *features).agg(
-            (F.avg(F.col("_e") * F.col("_e")) / 2).alias("loss"), *[F.avg(F.col("_e") * F.col(f)).alias(f"g{i}") for i, f in enumerate(features)]).first()
-        return float(r["loss"]), np.array([r[f"g{i}"] for i in range(len(features))])
+        return float((w @ a @ w - 2 * w @ c + yy) / 2), a @ w - c
     return call
 
 
@@ -124,7 +124,7 @@ def _backtracked(oracle, w, loss, g, total, shrink=0.5, share=0.5):
 
 
 def simplex_regression(df: DataFrame, features: list[str], y: str, method: str = "frank_wolfe", steps: int = 50, loss: str = "squared", total: float = 1.0):
-    """Weights on the simplex that fit ``y`` best; every step is one pass over the data."""
+    """Weights on the simplex that fit ``y`` best: one pass for squared loss, one per step for logistic."""
     make = logistic_loss if loss == "logistic" else squared_loss
     return minimise_on_simplex(make(df, features, y), len(features), method, steps, total=total)
 
