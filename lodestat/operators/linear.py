@@ -111,7 +111,8 @@ def _wide_sums(d: DataFrame, cols: list[str], centre: np.ndarray) -> dict:
             for k in np.unique(f):
                 z = m[f == k]
                 acc[k] = acc.get(k, 0) + np.concatenate([[len(z)], z.sum(axis=0), (z.T @ z).ravel()])
-        yield pd.DataFrame({"_f": list(acc), "v": list(acc.values())})
+        if acc:
+            yield pd.DataFrame({"_f": list(acc), "v": list(acc.values())})
 
     parts = d.mapInPandas(run, "_f bigint, v array<double>").select("_f", F.posexplode("v").alias("i", "x"))
     out: dict = {}

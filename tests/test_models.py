@@ -109,6 +109,14 @@ def test_polynomials_fit_like_raw_powers(data):
     assert fit.rss == pytest.approx(e @ e)
 
 
+def test_wide_sums_skip_empty_tasks(data):
+    _, _, _, df = data
+    thin = df.filter("id < 40").repartition(64, "g")
+    names = ["a", "b", "c", "d"]
+    x = {**linear.terms_of(names), **linear.interaction(linear.terms_of(["a"]), linear.terms_of(["b", "c"]))}
+    assert linear.gram(thin, x, F.col("y")).n == 40
+
+
 def test_contrasts(data):
     _, y, _, df = data
     fit = linear.Fit(linear.gram(df, linear.treatment("g", ["b", "a", "c"]), F.col("y")))
