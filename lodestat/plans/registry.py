@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lodestat.session import ship
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -38,6 +40,7 @@ class Tables:
     """Attribute access to the parquet tables of one directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        ship(spark)
         self.spark = spark
         self.dir = sf_dir.rstrip("/")
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# A side is broadcast only when a count proves it stays at or below this size.
-BROADCAST_ROW_LIMIT = 200_000
+# Applications whose workers already have the package.
+_SHIPPED: set[str] = set()
 
 
 def local_session(app: str = "lodestat", cpus: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -65,11 +66,23 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fits(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
-    """True when ``df`` has at most ``limit`` rows; reads no more than needed to know."""
-    return df.limit(limit + 1).count() <= limit
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application.
 
-
-def small_side(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast hint for a side of proven size; beyond the limit Spark shuffles instead."""
-    return F.broadcast(df) if fits(df, limit) else df
+    Functions that run there refer to it by name, and a worker does not share the
+    driver's working folder or path.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    name = os.path.basename(root)
+    target = os.path.join(tempfile.mkdtemp(prefix=f"{name}-"), f"{name}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.join(name, os.path.relpath(full, root)))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
