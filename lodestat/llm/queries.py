@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestat.llm import tokenids
+from lodestat.llm import exactdedup, tokenids
 from lodestat.session import scratch_path, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,14 @@ def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = _table(spark, sf_dir, "documents"), scratch_path(spark, "token-ids")
     tokenids.write(docs, path, _tokenizer("byte_bpe_50k.json"), END_ID)
     return tokenids.documents_of(spark, path, docs)
+
+
+@query("op7_exact_dedup", sql="""
+    with t as (select doc_id, coalesce(text, '') as text from documents),
+         g as (select text, max(doc_id) as keep_id, count(*) as group_size from t group by text)
+    select t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id as kept, sha256(t.text) as text_sha256
+    from t join g on t.text = g.text
+""")
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of equal texts the row with the largest doc_id stays."""
+    return exactdedup.find_copies(_table(spark, sf_dir, "documents"))
