@@ -38,3 +38,8 @@ def remove(spark: SparkSession, *paths: str) -> None:
 def whole(col: str | Column) -> Column:
     """A text column with null as empty."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
+
+
+def small(df: DataFrame, rows: int = 20_000) -> DataFrame:
+    """Broadcast hint for a table counted and found to have at most ``rows`` rows; any other stays as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

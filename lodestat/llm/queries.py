@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestat.llm import exactdedup, tokenids
+from lodestat.llm import exactdedup, mixing, tokenids
 from lodestat.session import scratch_path, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,10 @@ def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id stays."""
     return exactdedup.find_copies(_table(spark, sf_dir, "documents"))
+
+
+@query("op8_mixing")
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of each document so that sources meet targets of weight 1, 2, 3 in turn."""
+    mix = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
