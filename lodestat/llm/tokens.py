@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 
 # Unicode white space as the tokenizers' own ``\s`` has it; Python's also holds \x1c-\x1f.
 _WORDS_WITH_LEAD = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
@@ -11,6 +13,14 @@ _WORDS = re.compile(r"[\S\x1c-\x1f]+")
 _TAIL = ".,;:!?"
 
 
+def struct_packer(width: int):
+    """Function from a list of ids to little-endian bytes of ``width`` each."""
+    kind = {2: "H", 4: "I"}[width]
+    if sys.byteorder != "little":
+        return lambda ids: b"".join(i.to_bytes(width, "little") for i in ids)
+    return lambda ids: array(kind, ids).tobytes()
+
+
 class Encoder:
     """Ids of whole texts as little-endian bytes.
 
@@ -22,7 +32,7 @@ class Encoder:
     front of the next word (``byte_bpe``).  ``width``: bytes of one id, 2 or 4.
     """
 
-    def __init__(self, path: str, drops_space: bool, width: int = 4, memo: int = 600_000):
+    def __init__(self, path: str, drops_space: bool, width: int = 4, memo: int = 1_500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -52,8 +62,9 @@ class Encoder:
         plain = (new - tailed) | {p[:-1] for p in tailed} | {p[-1] for p in tailed}
         plain = list(plain.difference(self.memo))
         if plain:
+            pack = struct_packer(self.width)
             for p, e in zip(plain, self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)):
-                self.memo[p] = b"".join(i.to_bytes(self.width, "little") for i in e.ids)
+                self.memo[p] = pack(e.ids)
         for p in tailed:
             self.memo[p] = self.memo[p[:-1]] + self.memo[p[-1]]
 
