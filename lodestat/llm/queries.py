@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestat.llm import exactdedup, mixing, tokenids
+from lodestat.llm import exactdedup, langid, mixing, quality, tokenids
 from lodestat.session import scratch_path, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,15 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of each document so that sources meet targets of weight 1, 2, 3 in turn."""
     mix = mixing.mix(_table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posterior of good and of toxic for every document; the source is the host, the language the path."""
+    return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@query("op5_language")
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of the ids."""
+    return langid.predict(_table(spark, sf_dir, "documents"))
