@@ -30,7 +30,8 @@ from lodestat.session import cut
 BINS = 1 << 17  # words are hashed here
 _SHAPES = 6 * 16  # shape features follow the words
 TRAIN = 4096  # sampled labelled rows the models are fitted on
-STEPS, RATE, DECAY = 150, 0.5, 1e-3
+CHI = 25.0
+STEPS, RATE, DECAY = 400, 0.3, 1.0
 _WORD = re.compile(r"\w+")
 _MARK = np.zeros(128, bool)
 _MARK[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
@@ -55,21 +56,29 @@ def features(text: str, bin_of: dict[str, int]) -> np.ndarray:
 
 
 def fit(rows: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights and intercept of a logistic model over sparse 0/1 rows, by adaptive gradient steps."""
+    """Weights and intercept of a logistic model over sparse 0/1 rows, by adaptive gradient steps.
+
+    Only features whose chi-square against ``y`` reaches ``CHI`` take part: words seen in a few
+    rows tell the rows apart, not their labels.
+    """
     at = np.concatenate(rows)
     row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    used, col = np.unique(at, return_inverse=True)
-    scale = 1 / np.sqrt(np.array([len(r) for r in rows]))
-    w, b = np.zeros(len(used)), float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)))
-    seen = np.full(len(used), 1e-8)
+    n, size, share = len(rows), BINS + _SHAPES, float(y.mean())
+    df, hits = np.bincount(at, minlength=size), np.bincount(at, y[row], size)
+    chi = (hits - df * share) ** 2 / np.maximum(df * share * (1 - share) * (1 - df / n), 1e-9)
+    used = np.flatnonzero((chi >= CHI) & (df >= 5) & (df < n))
+    place = np.full(size, -1)
+    place[used] = np.arange(len(used))
+    at, row = place[at][place[at] >= 0], row[place[at] >= 0]
+    w, b, seen, seen_b = np.zeros(len(used)), float(np.log((share + 1e-6) / (1 - share + 1e-6))), np.full(len(used), 1e-8), 1e-8
     for _ in range(STEPS):
-        z = np.bincount(row, w[col], len(rows)) * scale + b
-        err = 1 / (1 + np.exp(-z)) - y
-        g = np.bincount(col, (err * scale)[row], len(used)) / len(rows) + DECAY * w / len(rows)
+        err = 1 / (1 + np.exp(-(np.bincount(row, w[at], n) + b))) - y
+        g = (np.bincount(at, err[row], len(used)) + DECAY * w) / n
         seen += g * g
+        seen_b += err.mean() ** 2
         w -= RATE * g / np.sqrt(seen)
-        b -= RATE * err.mean() * 0.1
-    out = np.zeros(BINS + _SHAPES)
+        b -= RATE * err.mean() / np.sqrt(seen_b)
+    out = np.zeros(size)
     out[used] = w
     return out, b
 
@@ -152,7 +161,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             z = np.zeros((b.num_rows, 2))
             for i, text in enumerate(b.column(1).to_pylist() if shared.value else []):
                 f = features(text or "", bin_of)
-                z[i] = [w[f].sum() / np.sqrt(len(f)) + c for w, c in shared.value]
+                z[i] = [w[f].sum() + c for w, c in shared.value]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), pa.array(z[:, 0]), pa.array(z[:, 1])],
                                              names=["doc_id", "host", "path", "good", "toxic"])
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestat.llm import exactdedup, langid, mixing, quality, tokenids
+from lodestat.llm import exactdedup, langid, mixing, multiindex, quality, tokenids
 from lodestat.session import scratch_path, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from three quarters of the ids."""
     return langid.predict(_table(spark, sf_dir, "documents"))
+
+
+@query("op9_nearest")
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest vectors of every vector whose id is divisible by 50."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return multiindex.search(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
