@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestat.llm import exactdedup, langid, mixing, multiindex, quality, tokenids
+from lodestat.llm import exactdedup, langid, mixing, multiindex, neardedup, quality, tokenids
 from lodestat.session import scratch_path, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,9 @@ def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five nearest vectors of every vector whose id is divisible by 50."""
     vectors = _table(spark, sf_dir, "embeddings")
     return multiindex.search(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
+@query("op3_near_dedup")
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose shingle sets are at least 85 % alike."""
+    return neardedup.groups(_table(spark, sf_dir, "documents"))
