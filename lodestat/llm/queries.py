@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestat.llm import exactdedup, langid, mixing, multiindex, neardedup, quality, tokenids
+from lodestat.llm import exactdedup, langid, mixing, multiindex, neardedup, packing, quality, tokenids
 from lodestat.session import scratch_path, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,9 @@ def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose shingle sets are at least 85 % alike."""
     return neardedup.groups(_table(spark, sf_dir, "documents"))
+
+
+@query("op10_packing")
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 4096 ids, neighbours by BM25 side by side."""
+    return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), END_ID)
