@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestat.llm import exactdedup, langid, mixing, multiindex, neardedup, packing, quality, tokenids
+from lodestat.llm import exactdedup, langid, mixing, multiindex, neardedup, packing, pii, quality, tokenids
 from lodestat.session import scratch_path, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,9 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 4096 ids, neighbours by BM25 side by side."""
     return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), END_ID)
+
+
+@query("op6_pii")
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans and those the span classifier adds."""
+    return pii.digest(pii.find(_table(spark, sf_dir, "documents")))
