@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestat.llm import exactdedup, langid, mixing, multiindex, neardedup, packing, pii, quality, tokenids
+from lodestat.llm import exactdedup, langid, linededup, mixing, multiindex, neardedup, packing, pii, quality, tokenids
 from lodestat.session import scratch_path, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: base spans and those the span classifier adds."""
     return pii.digest(pii.find(_table(spark, sf_dir, "documents")))
+
+
+@query("op4_line_dedup")
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, lines cut as repeats, and the hash of what stays."""
+    return linededup.report(_table(spark, sf_dir, "documents"))
