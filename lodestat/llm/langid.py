@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestat.llm.common import narrow
 
@@ -106,8 +107,11 @@ def sample(docs: DataFrame) -> list:
     return [(r["lang"], bytes(r["bits"])) for r in got]
 
 
-def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``doc_id, held_out, lang_pred, score`` of every row; the score is half the lead over the second best."""
+def annotate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``input`` (the whole row), ``doc_id, held_out, lang_pred, score`` of every row of ``docs``.
+
+    The score is half the lead over the second best language.
+    """
     spark = docs.sparkSession
     rows = narrow(docs, doc_id=id_col, text=text_col, lang=lang_col)
     learned = sample(rows)
@@ -118,7 +122,7 @@ def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         names, marks, alpha = model.value
         label = np.array([*names, UNKNOWN], dtype=object)
         for b in batches:
-            texts = b.column(1).to_pylist()
+            texts = b.column(2).to_pylist()
             best, lead = np.full(len(texts), len(names)), np.zeros(len(texts))
             told = [i for i, t in enumerate(texts) if names and t and _LETTER.search(t)]
             for at in range(0, len(told), _BATCH):
@@ -127,8 +131,24 @@ def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
                 best[part] = f.argmax(1)
                 second = np.sort(f, 1)[:, -2] if len(names) > 1 else np.full(len(part), -1.0)
                 lead[part] = np.clip((f.max(1) - second) / 2, 0, 1)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(label[best], pa.string()), pa.array(lead)],
-                                             names=["doc_id", "held_out", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), pa.array(label[best], pa.string()), pa.array(lead)],
+                                             names=["input", "doc_id", "held_out", "lang_pred", "score"])
+
+    asked = docs.select(F.struct("*").alias("input")).select(
+        "input", F.col(f"input.`{id_col}`").cast("long").alias("doc_id"), F.col(f"input.`{text_col}`").alias("text"))
+    asked = asked.withColumn("held_out", F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(False)))
+    out = T.StructType([asked.schema["input"], T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()),
+                        T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return asked.mapInArrow(score, out)
+
+
+def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``doc_id, held_out, lang_pred, score`` of every row."""
+    needed = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys((id_col, text_col, lang_col))])
+    return annotate(needed, id_col, text_col, lang_col).drop("input")
+
 
-    asked = rows.select("doc_id", "text", F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(False)).alias("held_out"))
-    return asked.mapInArrow(score, "doc_id long, held_out boolean, lang_pred string, score double")
+def known(docs: DataFrame, least: float = 0.05, **columns: str) -> DataFrame:
+    """The rows of ``docs`` whose language is known with a score of ``least`` or more."""
+    told = annotate(docs, **columns).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return told.select("input.*")

@@ -248,3 +248,10 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without those that another document of their component stands for."""
+    gone = cut(groups(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct())
+    # one long per id: at most 16 MB when broadcast, shuffled beyond that
+    return docs.join(small(gone, 1_000_000), F.col(f"`{id_col}`") == F.col("gone_id"), "left_anti")
