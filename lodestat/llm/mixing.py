@@ -146,7 +146,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = 0, id_co
     on = [F.col(f"r.{c}").eqNullSafe(F.col(f"e.{c}")) for c in (*_SOURCE, "doc_id", "size")]
     out = rows.alias("r").join(extra.alias("e"), on, "left")
     return out.select("r.doc_id", "r.no_source", "r.source", "r.size", "r.source_size", "r.target",
-                      (F.col("r.sure") + F.coalesce("e.extra", F.lit(0))).cast("long").alias("copies"))
+                      F.when(F.col("r.size") > 0, F.col("r.sure") + F.coalesce("e.extra", F.lit(0))).otherwise(0).cast("long").alias("copies"))
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
