@@ -6,11 +6,12 @@ A document is the set of its five-word shingles.  Each shingle hash falls in one
 the similarity of a pair with chance collisions taken off, and what may reach the limit is
 confirmed on the full sets.
 
-No pairs are made of a whole group.  Equal sets are one class from the start.  In each round
-one member of every bucket, the hub, meets the others; links found join classes to
-components, and the next hubs only meet members of other components.  What then still lies
-in one bucket but in different components is compared in full, so no link is lost that the
-bands can see (a pair at the limit is missed with chance below 1e-6).
+No pairs are made of a whole group.  Equal sets are one class from the start.  One member of
+every bucket, the hub, meets the others; links found join classes to components, and a bucket
+whose members are all in one component is done.  Members of the other buckets meet in tasks,
+in blocks of bounded size: first by registers, then, where one may have a partner in another
+component, by full sets.  A task returns at most one link for each two components it joins.
+No link is lost that the bands can see (a pair at the limit is missed with chance below 1e-6).
 
 Defined cases: null, empty and wordless texts have no shingles and no links; a text of one
 to four words is one shingle; rows that share an id are one document, linked with whatever
@@ -21,6 +22,7 @@ component; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -36,7 +38,8 @@ MANTISSA = 10
 ROWS = 5  # registers of a band
 LIMIT = (85, 100)  # linked when 100 x intersection >= 85 x union
 MARGIN = 5.0  # standard deviations by which an estimate may lie below the limit
-HUB_ROUNDS = 2
+BLOCK_ROWS = 2048  # members of one bucket that meet in one task
+BLOCK_SHINGLES = 4_000_000  # and their shingles
 
 _EMPTY = 0xFFFF
 _VALUE_BITS = 64 - (REGISTERS.bit_length() - 1)
@@ -174,6 +177,19 @@ def _sides(pairs: DataFrame, table: DataFrame, value: list[str]) -> DataFrame:
     return pairs.join(left, "a").join(right, "b")
 
 
+def _sets_of(ids: DataFrame, set_ids: DataFrame, rows: DataFrame) -> DataFrame:
+    """``set_id, s``: the full shingle sets of the asked classes, from the texts of the asked ids."""
+
+    def full(batches):
+        for b in batches:
+            s = [shingles(t.as_py()) for t in b.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array([_digest(x) for x in s], pa.binary()), pa.array([x.tobytes() for x in s], pa.binary())], names=["set_id", "s"])
+
+    # one long per id: at most 16 MB when broadcast, shuffled beyond that
+    texts = rows.join(small(cut(ids.distinct()), 1_000_000), "doc_id").select("text").mapInArrow(full, "set_id binary, s binary")
+    return cut(texts.join(set_ids.distinct(), "set_id", "left_semi").groupBy("set_id").agg(F.first("s").alias("s")))
+
+
 def _confirm(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
     """Those of ``pairs`` (``a, b`` set ids) whose full sets are linked, as ``src, dst`` ids."""
 
@@ -185,16 +201,7 @@ def _confirm(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame
 
     close = cut(_sides(pairs, classes, ["regs", "n_shingles", "id"]).mapInArrow(likely, "a binary, b binary, src long, dst long"))
 
-    def full(batches):
-        for b in batches:
-            s = [shingles(t.as_py()) for t in b.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array([_digest(x) for x in s], pa.binary()), pa.array([x.tobytes() for x in s], pa.binary())], names=["set_id", "s"])
-
-    ids = close.select(F.explode(F.array("src", "dst")).alias("doc_id")).distinct()
-    used = close.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    # one long per id: at most 16 MB when broadcast, shuffled beyond that
-    texts = rows.join(small(cut(ids), 1_000_000), "doc_id").select("text").mapInArrow(full, "set_id binary, s binary")
-    sets = cut(texts.join(used, "set_id", "left_semi").groupBy("set_id").agg(F.first("s").alias("s")))
+    sets = _sets_of(close.select(F.explode(F.array("src", "dst")).alias("doc_id")), close.select(F.explode(F.array("a", "b")).alias("set_id")), rows)
 
     def check(batches):
         for b in batches:
@@ -205,6 +212,90 @@ def _confirm(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame
     return _sides(close, sets, ["s"]).select("src", "dst", "s_a", "s_b").mapInArrow(check, "src long, dst long")
 
 
+def _labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    return cut(components(nodes, links).select(F.col("node").alias("id"), F.col("component").alias("label")))
+
+
+def _blocks(members: DataFrame) -> DataFrame:
+    """Members of buckets that hold several components, dealt to pairs of blocks ``lo, hi``."""
+    mixed = members.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("w"))
+    many = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("w") / BLOCK_SHINGLES)).cast("int")
+    mixed = cut(mixed.filter("x < y").select("band", many.alias("many")))
+    dealt = members.join(mixed, "band").withColumn("mine", F.pmod(F.xxhash64("set_id"), F.col("many")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("many") - 1)).alias("other")
+    return dealt.select("*", other).select("band", "set_id", "id", "label", "n_shingles", "mine", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
+
+
+def _meets(pdf: pd.DataFrame, i: int) -> np.ndarray:
+    """Rows behind row ``i`` of another component that this pair of blocks has to compare it with."""
+    rest = np.arange(i + 1, len(pdf))
+    mine, label = pdf["mine"].to_numpy(), pdf["label"].to_numpy()
+    ok = label[rest] != label[i]
+    if pdf["lo"].iloc[0] != pdf["hi"].iloc[0]:
+        ok &= mine[rest] != mine[i]
+    return rest[ok]
+
+
+def _joining(members: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
+    """``src, dst`` links between components, from all buckets that hold several."""
+
+    def hopeful(pdf: pd.DataFrame) -> pd.DataFrame:
+        regs = np.frombuffer(b"".join(pdf["regs"]), "uint16").reshape(len(pdf), REGISTERS)
+        n, limit = pdf["n_shingles"].to_numpy("float64"), LIMIT[0] / LIMIT[1]
+        full, hope = regs != _EMPTY, np.zeros(len(pdf), bool)
+        for i in range(len(pdf)):
+            at = _meets(pdf, i)
+            at = at[np.minimum(n[at], n[i]) >= limit * np.maximum(n[at], n[i])]
+            if len(at):
+                used = (full[at] | full[i]).sum(1)
+                # accidental matches only raise the estimate, so leaving them in loses nothing
+                alike = ((regs[at] == regs[i]) & full[i]).sum(1) / used
+                at = at[alike >= limit - MARGIN * np.sqrt(limit * (1 - limit) / used)]
+                hope[at] = True
+                hope[i] |= len(at) > 0
+        return pdf.loc[hope, ["band", "set_id", "id", "label", "n_shingles"]]
+
+    kind = "band long, set_id binary, id long, label long, n_shingles long"
+    key = ["band", "lo", "hi"]
+    near = cut(_blocks(members).join(classes.select("set_id", "regs"), "set_id").groupBy(*key).applyInPandas(hopeful, kind).distinct())
+
+    def join(pdf: pd.DataFrame) -> pd.DataFrame:
+        sets = [np.frombuffer(x, "uint64") for x in pdf["s"]]
+        n, ids, label = pdf["n_shingles"].to_numpy(), pdf["id"].to_numpy(), pdf["label"].to_numpy()
+        shingle, doc = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
+        order = np.argsort(shingle, kind="stable")
+        doc = doc[order]
+        names, first = np.unique(shingle[order], return_index=True)
+        size = np.diff(first, append=len(doc))
+        parent: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        out = []
+        for i in range(len(pdf)):
+            at = _meets(pdf, i)
+            if not len(at):
+                continue
+            own = np.searchsorted(names, sets[i])
+            # all postings of the set's shingles, list after list
+            ends = np.cumsum(size[own])
+            pos = np.arange(ends[-1]) + np.repeat(first[own] - (ends - size[own]), size[own])
+            both = np.bincount(doc[pos], minlength=len(pdf))[at]
+            for j in at[LIMIT[1] * both >= LIMIT[0] * (n[at] + n[i] - both)]:
+                a, b = find(int(label[i])), find(int(label[j]))
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+                    out.append((ids[i], ids[j]))
+        return pd.DataFrame(out, columns=["src", "dst"], dtype="int64")
+
+    sets = _sets_of(near.select(F.col("id").alias("doc_id")), near.select("set_id"), rows)
+    met = _blocks(near).join(sets, "set_id")
+    return cut(met.groupBy(*key).applyInPandas(join, "src long, dst long").distinct())
+
+
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``."""
     rows = narrow(docs, doc_id=id_col, text=text_col)
@@ -221,28 +312,14 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     same = cut(sketched.filter("set_id is not null and doc_id is not null").select("doc_id", "set_id").join(
         classes.select("set_id", "id"), "set_id").filter("doc_id <> id").select(F.col("doc_id").alias("src"), F.col("id").alias("dst"))
         .join(nodes.withColumnRenamed("node", "src"), "src", "left_semi"))
-    links, label = same, None
-    for turn in range(HUB_ROUNDS + 1):
-        members = banded.withColumn("label", F.col("id")) if label is None else cut(banded.join(label, "id"))
-        if turn:
-            # only buckets that still hold several components
-            mixed = cut(members.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("band"))
-            members = cut(members.join(mixed, "band"))
-        if turn < HUB_ROUNDS:
-            by = F.xxhash64("id", F.lit(turn))
-            hubs = cut(members.groupBy("band").agg(F.min_by(F.struct("set_id", "label"), by).alias("h")))
-            pairs = members.join(hubs, "band").filter("h.label <> label").select(F.col("h.set_id").alias("a"), F.col("set_id").alias("b"))
-        else:
-            held = cut(members.select("band", "label").distinct())
-            meet = held.alias("l").join(held.alias("r"), "band").filter("l.label < r.label").select(
-                "band", F.col("l.label").alias("la"), F.col("r.label").alias("lb"))
-            pairs = (meet.join(members.select("band", F.col("label").alias("la"), F.col("set_id").alias("a")), ["band", "la"])
-                     .join(members.select("band", F.col("label").alias("lb"), F.col("set_id").alias("b")), ["band", "lb"]).select("a", "b"))
-        pairs = cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        if turn and pairs.isEmpty():
-            break
-        links = cut(links.unionByName(_confirm(pairs, classes, rows)).distinct())
-        label = cut(components(nodes, links).select(F.col("node").alias("id"), F.col("component").alias("label")))
+    hubs = cut(banded.groupBy("band").agg(F.min_by("set_id", F.xxhash64("id")).alias("hub")))
+    pairs = banded.join(hubs, "band").filter("hub <> set_id").select(F.least("hub", "set_id").alias("a"), F.greatest("hub", "set_id").alias("b"))
+    links = cut(same.unionByName(_confirm(cut(pairs.distinct()), classes, rows)).distinct())
+    label = _labels(nodes, links)
+    members = cut(banded.join(label, "id").join(classes.select("set_id", "n_shingles"), "set_id"))
+    more = _joining(members, classes, rows)
+    if not more.isEmpty():
+        label = _labels(nodes, cut(links.unionByName(more)))
     of_set = cut(classes.select("set_id", "id").join(label, "id").select("set_id", "label"))
     out = sketched.select("doc_id", "n_shingles", "set_id").join(of_set, "set_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id"))
