@@ -5,11 +5,15 @@ from __future__ import annotations
 import os
 import re
 import sys
+import unicodedata
 from array import array
 
 # Unicode white space as the tokenizers' own ``\s`` has it; Python's also holds \x1c-\x1f.
 _WORDS_WITH_LEAD = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
 _WORDS = re.compile(r"[\S\x1c-\x1f]+")
+# White space other than blank and line feed, and what str.split() takes for it.
+_ODD = re.compile("[\t\r\0\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_DOUBLE = ("  ", " \n", "\n ", "\n\n")
 _TAIL = ".,;:!?"
 
 
@@ -21,6 +25,11 @@ def struct_packer(width: int):
     return lambda ids: array(kind, ids).tobytes()
 
 
+def _letter(c: str) -> bool:
+    """Whether a character is still a letter, with no mark behind it, once composed and lowered."""
+    return c.isascii() and c.isalpha() or unicodedata.normalize("NFC", c).lower()[-1].isalpha()
+
+
 class Encoder:
     """Ids of whole texts as little-endian bytes.
 
@@ -28,8 +37,8 @@ class Encoder:
     characters across that place, so the ids of a text are the ids of its pieces in
     order, and pieces seen before come from a memo of bounded size.
 
-    ``drops_space``: the tokenizer ignores white space (``word_bpe``) or keeps it in
-    front of the next word (``byte_bpe``).  ``width``: bytes of one id, 2 or 4.
+    ``drops_space``: the tokenizer ignores white space and case (``word_bpe``) or keeps
+    white space in front of the next word (``byte_bpe``).  ``width``: bytes of one id, 2 or 4.
     """
 
     def __init__(self, path: str, drops_space: bool, width: int = 4, memo: int = 1_500_000):
@@ -38,7 +47,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.find = (_WORDS if drops_space else _WORDS_WITH_LEAD).findall
+        self.find = self._words if drops_space else self._words_with_lead
         self.width, self.limit, self.memo = width, memo, {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -53,12 +62,25 @@ class Encoder:
                 out.append(b"".join(map(self.memo.__getitem__, pieces)))
         return out
 
+    @staticmethod
+    def _words(text: str) -> list[str]:
+        if _ODD.search(text):
+            return _WORDS.findall(text)
+        # the tokenizer lowers letters one by one; a final sigma is the one letter str.lower() looks around for
+        return (text if "\u03a3" in text else text.lower()).split()
+
+    @staticmethod
+    def _words_with_lead(text: str) -> list[str]:
+        if not text or text[0] in " \n" or text[-1] in " \n" or any(d in text for d in _DOUBLE) or _ODD.search(text):
+            return _WORDS_WITH_LEAD.findall(text)
+        return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+
     def _learn(self, pieces: list[str]) -> None:
         if len(self.memo) > self.limit:
             self.memo.clear()
         new = set(pieces).difference(self.memo)
         # a mark after a letter always starts an id of its own, so the word is looked up without it
-        tailed = {p for p in new if len(p) > 1 and p[-1] in _TAIL and p[-2].isalpha()}
+        tailed = {p for p in new if len(p) > 1 and p[-1] in _TAIL and _letter(p[-2])}
         plain = (new - tailed) | {p[:-1] for p in tailed} | {p[-1] for p in tailed}
         plain = list(plain.difference(self.memo))
         if plain:
