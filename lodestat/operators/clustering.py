@@ -103,6 +103,7 @@ def fair_parameters(rows: list, centres: Centres, groups: tuple[str, str] = ("A"
     """Shares, group means, their distance and the in-group residuals, from K x 2 summary rows.
 
     A group absent from a cluster takes the other group's mean; an empty cluster its old centre.
+    Any other group raises.
     """
     k, d = len(centres), len(centres[0])
     n = np.zeros((2, k))
@@ -110,7 +111,7 @@ def fair_parameters(rows: list, centres: Centres, groups: tuple[str, str] = ("A"
     resid = np.zeros(2)
     for r in rows:
         if r["grp"] not in groups:
-            continue
+            raise ValueError(f"group {r['grp']!r} is neither of {groups}")
         g, c = groups.index(r["grp"]), r["cluster"]
         s = np.array([r[f"s{i}"] for i in range(d)])
         n[g, c] = r["n"]
@@ -129,21 +130,31 @@ def fair_parameters(rows: list, centres: Centres, groups: tuple[str, str] = ("A"
             "ell": np.linalg.norm(mu[0] - mu[1], axis=1), "fixed_a": float(fixed[0]), "fixed_b": float(fixed[1])}
 
 
-def balance(p: dict, rounds: int = 10) -> np.ndarray:
-    """Distance of each new centre from the first group's mean, by bisection on the weight gamma
-    until both groups' objectives meet."""
-    alpha, beta, ell = p["alpha"], p["beta"], p["ell"]
-    gamma, x = 0.5, np.zeros_like(ell)
-    for step in (0.5 ** (i + 2) for i in range(rounds)):
-        weight = gamma * alpha + (1 - gamma) * beta
-        pull = (1 - gamma) * beta * ell
-        x = np.where(weight > 0, pull / np.where(weight > 0, weight, 1.0), 0.0)
-        f_a = p["fixed_a"] + float((alpha * x ** 2).sum())
-        f_b = p["fixed_b"] + float((beta * (ell - x) ** 2).sum())
-        if math.isclose(f_a, f_b, rel_tol=1e-5, abs_tol=1e-8):
-            break
-        gamma += step if f_a > f_b else -step
-    return x
+def _offsets(p: dict, gamma: float) -> np.ndarray:
+    """Best distances from the first group's means when its objective weighs ``gamma``."""
+    mine, other = gamma * p["alpha"], (1 - gamma) * p["beta"]
+    both = mine + other
+    return np.divide(other * p["ell"], both, out=np.zeros_like(both), where=both > 0)
+
+
+def _lead(p: dict, gamma: float) -> float:
+    """First group's objective less the second's; falls as ``gamma`` grows."""
+    x = _offsets(p, gamma)
+    return p["fixed_a"] - p["fixed_b"] + float(p["alpha"] @ x ** 2 - p["beta"] @ (p["ell"] - x) ** 2)
+
+
+def balance(p: dict, tol: float = 1e-12) -> np.ndarray:
+    """Distance of each new centre from the first group's mean at which both groups'
+    objectives meet, or come nearest when one stays above the other."""
+    low, high = 0.0, 1.0
+    if _lead(p, low) <= 0:
+        return _offsets(p, low)
+    if _lead(p, high) >= 0:
+        return _offsets(p, high)
+    while high - low > tol:
+        mid = (low + high) / 2
+        low, high = (mid, high) if _lead(p, mid) > 0 else (low, mid)
+    return _offsets(p, (low + high) / 2)
 
 
 def shifted_centres(p: dict, x: np.ndarray) -> Centres:

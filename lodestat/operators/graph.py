@@ -6,6 +6,8 @@ Undirected edge tables hold each edge once with ``src < dst``.  ``by`` columns
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -145,8 +147,7 @@ def connectivity(nodes: DataFrame, edges: DataFrame, by: list[str]) -> DataFrame
 _MASK_BITS = 63
 
 
-def path_lengths(nodes: DataFrame, edges: DataFrame, by: list[str], n_sources: int | None = None,
-                 max_levels: int = 10_000) -> DataFrame:
+def path_lengths(nodes: DataFrame, edges: DataFrame, by: list[str], n_sources: int | None = None) -> DataFrame:
     """Mean shortest path over ordered pairs, from all sources or ``n_sources`` hashed ones.
 
     Breadth-first search from 63 sources at a time: a node carries one mask per
@@ -167,7 +168,7 @@ def path_lengths(nodes: DataFrame, edges: DataFrame, by: list[str], n_sources: i
     key = [*by, "node", "block"]
     seen, fresh = start, start
     tally = []
-    for level in range(1, max_levels + 1):
+    for level in itertools.count(1):
         reached = (
             fresh.join(arcs, [*by, "node"]).groupBy(*by, F.col("to").alias("node"), "block")
             .agg(F.bit_or("mask").alias("_in")))

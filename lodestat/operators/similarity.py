@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from lodestat.functions.vectors import cosine, unit
 from lodestat.operators.ordering import average_ranks, top_per_key
+from lodestat.session import cut
 
 # Up to this many query vectors travel to the tasks as one matrix; more are blocked on both sides.
 QUERY_LIMIT = 4096
@@ -120,13 +121,12 @@ def combine_queries(vectors: DataFrame, asked: DataFrame) -> DataFrame:
     return vec.join(members, "qid")
 
 
-def most_similar(vectors: DataFrame, asked: DataFrame, n: int, members: int = 8) -> DataFrame:
-    """Top ``n`` per query of (qid, id, sign) rows, the query's own members left out.
-
-    ``members`` is the largest number of members a query has.
-    """
-    q = combine_queries(vectors, asked)
-    wide = top_similar(vectors, q, n + members).drop("rank")
+def most_similar(vectors: DataFrame, asked: DataFrame, n: int) -> DataFrame:
+    """Top ``n`` per query of (qid, id, sign) rows, the query's own members left out."""
+    q = cut(combine_queries(vectors, asked))
+    # a query's own members can take up as many places as the largest query has members
+    most = q.agg(F.max(F.size("members"))).first()[0] or 0
+    wide = top_similar(vectors, q, n + most).drop("rank")
     kept = wide.join(q.select("qid", "members"), "qid").filter(~F.array_contains("members", F.col("id"))).drop("members")
     return top_per_key(kept, ["qid"], [F.desc("sim"), F.col("id")], n)
 
@@ -137,7 +137,7 @@ def analogies(vectors: DataFrame, quads: DataFrame) -> DataFrame:
         F.struct(F.col("a").alias("id"), F.lit(-1.0).alias("sign")),
         F.struct(F.col("b").alias("id"), F.lit(1.0).alias("sign")),
         F.struct(F.col("c").alias("id"), F.lit(1.0).alias("sign")))))
-    best = most_similar(vectors, asked, 1, 3).select("qid", F.col("id").alias("predicted"))
+    best = most_similar(vectors, asked, 1).select("qid", F.col("id").alias("predicted"))
     return quads.join(best, "qid", "left").withColumn("correct", F.coalesce(F.col("predicted") == F.col("d"), F.lit(False)))
 
 
@@ -190,7 +190,9 @@ def neighbour_drift(first: DataFrame, second: DataFrame, n: int = 50, lowest: in
 
 
 def similarity_to(vectors: DataFrame, word) -> DataFrame:
-    """(id, sim) of every other vector to one word's vector."""
+    """(id, sim) of every other vector to one word's vector; no rows for an unknown word."""
     probe = vectors.filter(F.col("id") == word).select("vec").first()
+    if probe is None:
+        return vectors.select("id", F.lit(0.0).alias("sim")).limit(0)
     lit = F.array(*[F.lit(float(x)) for x in probe["vec"]])
     return vectors.filter(F.col("id") != word).select("id", cosine(F.col("vec"), lit).alias("sim"))

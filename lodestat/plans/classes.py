@@ -255,11 +255,12 @@ def compare_statistics(spark, df, features, rounds=100, folds=10, grid=(0.01, 1.
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
-    data = cut(evaluate.standardise(df, df, features))
+    data = cut(df)
     rows = []
     for seed in range(rounds):
         d = evaluate.exact_split(data, key, {"train": 0.8, "test": 0.2}, seed=1000 * seed).persist()
         train, test = d.filter("part = 'train'"), d.filter("part = 'test'")
+        train, test = evaluate.standardise(train, train, features), evaluate.standardise(train, test, features)
         assembled = VectorAssembler(inputCols=features, outputCol="features")
         lr = LogisticRegression(labelCol=label, standardization=False)
         cv = CrossValidator(estimator=lr, estimatorParamMaps=ParamGridBuilder().addGrid(lr.regParam, list(grid)).build(),

@@ -105,17 +105,18 @@ def c08(t):
         r("fixed_a", 5).alias("fixed_a"), r("fixed_b", 5).alias("fixed_b"))
 
 
-# the bisection as a recursive query over the K parameter rows
-_FAIR_SQL = _PARAMS_SQL + """, par AS (SELECT array_agg((alpha, beta, ell, cluster, ax, ay, bx, by_) ORDER BY cluster) AS v FROM e),
- xs(i, g, v, x, fa, fb) AS (
-  SELECT 0, CAST(0.5 AS DOUBLE), v, CAST([] AS DOUBLE[]), CAST(0 AS DOUBLE), CAST(1 AS DOUBLE) FROM par
+# the bracketed root as a recursive query over the K parameter rows
+_OFFSETS = "list_transform(v, lambda q: CASE WHEN {g} * q[1] + (1 - {g}) * q[2] > 0 THEN (1 - {g}) * q[2] * q[3] / ({g} * q[1] + (1 - {g}) * q[2]) ELSE 0 END)"
+_LEAD = """(SELECT fa - fb FROM fx) + list_sum(list_transform(v, lambda q, j: q[1] * {x}[j] ** 2 - q[2] * (q[3] - {x}[j]) ** 2))"""
+_FAIR_SQL = _PARAMS_SQL + f""", par AS (SELECT array_agg((alpha, beta, ell, cluster, ax, ay, bx, by_) ORDER BY cluster) AS v FROM e),
+ ends AS (SELECT v, {_OFFSETS.format(g="0.0")} AS x0, {_OFFSETS.format(g="1.0")} AS x1 FROM par),
+ br(i, lo, hi, v) AS (
+  SELECT 0, CAST(CASE WHEN {_LEAD.format(x="x1")} >= 0 THEN 1 ELSE 0 END AS DOUBLE), CAST(CASE WHEN {_LEAD.format(x="x0")} <= 0 THEN 0 ELSE 1 END AS DOUBLE), v FROM ends
   UNION ALL
-  SELECT i + 1, CASE WHEN abs(fa2 - fb2) <= 1e-5 * greatest(abs(fa2), abs(fb2)) THEN -1.0 WHEN fa2 > fb2 THEN g + 0.5 ** (i + 2) ELSE g - 0.5 ** (i + 2) END, v, x2, fa2, fb2
-  FROM (SELECT i, g, v, x2, (SELECT fa FROM fx) + list_sum(list_transform(v, lambda q, j: q[1] * x2[j] ** 2)) AS fa2,
-    (SELECT fb FROM fx) + list_sum(list_transform(v, lambda q, j: q[2] * (q[3] - x2[j]) ** 2)) AS fb2
-   FROM (SELECT i, g, v, list_transform(v, lambda q: CASE WHEN g * q[1] + (1 - g) * q[2] > 0 THEN (1 - g) * q[2] * q[3] / (g * q[1] + (1 - g) * q[2]) ELSE 0 END) AS x2
-    FROM xs WHERE i < 10 AND g >= 0))),
- last AS (SELECT * FROM xs ORDER BY i DESC LIMIT 1), px AS (SELECT unnest(v) AS q, unnest(x) AS x FROM last)"""
+  SELECT i + 1, CASE WHEN ld > 0 THEN m ELSE lo END, CASE WHEN ld > 0 THEN hi ELSE m END, v
+  FROM (SELECT *, {_LEAD.format(x="xm")} AS ld FROM (SELECT *, {_OFFSETS.format(g="m")} AS xm FROM (SELECT *, (lo + hi) / 2 AS m FROM br WHERE i < 45)))),
+ last AS (SELECT v, {_OFFSETS.format(g="m")} AS x FROM (SELECT v, (lo + hi) / 2 AS m FROM br ORDER BY i DESC LIMIT 1)),
+ px AS (SELECT unnest(v) AS q, unnest(x) AS x FROM last)"""
 
 
 @query("c09_balance_search", f"WITH RECURSIVE {_FAIR_SQL} SELECT CAST(q[4] AS INTEGER) AS cluster, round(x, 5) AS x FROM px")

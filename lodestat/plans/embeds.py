@@ -102,7 +102,7 @@ _U = "u AS (SELECT id, list_transform(v, lambda x: x / sqrt(list_dot_product(v,
  SELECT 0::BIGINT AS qid, id, round(sim, 6) AS sim, row_number() OVER (ORDER BY sim DESC, id)::INTEGER AS "rank" FROM (SELECT id, round(list_cosine_similarity(q.v, u.v), 9) AS sim FROM u, q WHERE id NOT IN (3, 8, 5)) QUALIFY "rank" <= 10""")
 def n05(t):
     asked = t.spark.createDataFrame([(0, 3, 1.0), (0, 8, 1.0), (0, 5, -1.0)], "qid bigint, id bigint, sign double")
-    return V.most_similar(vectors(t), asked, 10, 3).select("qid", "id", r("sim").alias("sim"), "rank")
+    return V.most_similar(vectors(t), asked, 10).select("qid", "id", r("sim").alias("sim"), "rank")
 
 
 @query("n06_similarity_benchmark", f"""WITH {_E}, {_PAIR}, s AS (SELECT round(list_cosine_similarity(x.v, y.v), 9) AS sim, CASE WHEN x.label = y.label THEN 1.0 ELSE 0.0 END::DOUBLE AS human

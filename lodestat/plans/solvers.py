@@ -80,7 +80,7 @@ def o03(t):
 
 @query("o03b_spectral_norm")
 def o03b(t):
-    return t.spark.createDataFrame([(problem(t).spectral_norm(12),)], "norm double")
+    return t.spark.createDataFrame([(problem(t).spectral_norm(),)], "norm double")
 
 
 # two simultaneous rounds with the exact rule, spelled out
@@ -123,7 +123,7 @@ def o06(t):
 @query("o07_optimum_and_gaps")
 def o07(t):
     s = problem(t)
-    _, best, _ = s.solve(rounds=40, tol=1e-4)
+    _, best, _ = s.solve()
     _, h = s.descend("exact", rounds=4)
     return gap_history(t.spark, {"exact": h}, best)
 

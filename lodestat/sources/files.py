@@ -33,13 +33,16 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: st
 def read_whitespace_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Whitespace-separated table with one header line per file.
 
-    The header is recognised by its first field; names come from ``schema``,
-    which also keeps dots out of column names.
+    The header is the first line of each file; names come from ``schema``, which also keeps
+    dots out of column names.  Blank lines are skipped and a row with another number of
+    fields than ``schema`` raises.
     """
-    fields = F.split(F.trim("value"), r"\s+")
-    head = spark.read.text(path).select(fields[0].alias("h")).first()["h"]
-    rows = spark.read.text(path).select(fields.alias("f")).filter((F.size("f") >= len(schema)) & (F.col("f")[0] != head))
-    return rows.select(*[F.col("f")[i].cast(f.dataType).alias(f.name) for i, f in enumerate(schema)])
+    # one column per line: the separator cannot occur in text, and the reader drops headers by position
+    lines = spark.read.schema("value string").csv(path, sep="\x01", quote="", header=True, enforceSchema=True)
+    rows = lines.filter(F.trim("value") != "").select("value", F.split(F.trim("value"), r"\s+").alias("f"))
+    wrong = F.raise_error(F.concat(F.lit(f"expected {len(schema)} fields: "), F.col("value")))
+    f = F.when(F.size("f") == len(schema), F.col("f")).otherwise(wrong.cast("array<string>"))
+    return rows.select(f.alias("f")).select(*[F.col("f")[i].cast(c.dataType).alias(c.name) for i, c in enumerate(schema)])
 
 
 def as_factor(col: str, levels: list[str]) -> Column:

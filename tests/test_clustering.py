@@ -48,3 +48,20 @@ def test_absent_groups(spark):
     assert q["alpha"].tolist() == [1, 0, 0] and q["fixed_a"] == pytest.approx(0.25)
     sizes = {r["cluster"]: (r["n_A"], r["n_B"]) for r in C.group_sizes(p, centres, ["A", "B"]).collect()}
     assert sizes == {0: (2, 0), 1: (0, 1), 2: (0, 0)}
+
+
+def test_balance_meets_or_takes_the_end():
+    p = {"alpha": np.array([0.5, 0.5]), "beta": np.array([0.2, 0.8]), "ell": np.array([3.0, 5.0]), "fixed_a": 1.0, "fixed_b": 0.4}
+    x = C.balance(p)
+    f_a = p["fixed_a"] + (p["alpha"] * x**2).sum()
+    f_b = p["fixed_b"] + (p["beta"] * (p["ell"] - x) ** 2).sum()
+    assert f_a == pytest.approx(f_b, rel=1e-9)
+    # one group stays above the other wherever the centres lie
+    assert C.balance({**p, "fixed_a": 1e6}).tolist() == [0.0, 0.0]
+    assert C.balance({**p, "fixed_b": 1e6}).tolist() == pytest.approx(p["ell"].tolist())
+
+
+def test_unknown_group_raises(spark):
+    rows = [{"grp": "Z", "cluster": 0, "n": 1, "s0": 0.0, "q": 0.0}]
+    with pytest.raises(ValueError):
+        C.fair_parameters(rows, [[0.0]])

@@ -120,3 +120,10 @@ def test_degree_tables(spark):
     h = graph.degree_histogram(graph.degrees(n, e, ["g"], directed=True), ["g"]).collect()
     assert [(r["degree"], r["n"], r["share"]) for r in h] == [(2, 1, 1.0)]
     assert graph.sampling_bound(graph.degrees(n, e, ["g"]), ["g"]).select(F.round("ratio", 6)).first()[0] == pytest.approx(0.333333)
+
+
+def test_long_paths_are_followed_to_the_end(spark):
+    edges = spark.createDataFrame([("p", f"{i:02d}", f"{i + 1:02d}") for i in range(8)], "g string, src string, dst string")
+    nodes = endpoints(edges, ["g"])
+    r = graph.path_lengths(nodes, edges, ["g"]).first()
+    assert r["n_pairs"] == 72 and r["mean_path"] == pytest.approx(10 / 3)

@@ -153,3 +153,34 @@ def test_line_documents_keep_file_order(spark):
     path = scratch_path(spark, "lines")
     spark.createDataFrame([(f"  Line {i}!  ",) for i in range(30)], "value string").coalesce(1).write.text(path)
     assert [r["text"] for r in read_line_documents(spark, path).orderBy("doc_id").collect()] == [f"line {i}" for i in range(30)]
+
+
+def test_most_similar_leaves_out_all_members(spark):
+    import numpy as np
+
+    from lodestat.operators import similarity
+    from lodestat.session import ship
+
+    ship(spark)
+    rng = np.random.default_rng(1)
+    vectors = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=8)]) for i in range(60)], "id int, vec array<double>")
+    asked = spark.createDataFrame([(1, i, 1.0) for i in range(12)] + [(2, 50, 1.0)], "qid int, id int, sign double")
+    got = similarity.most_similar(vectors, asked, 5).collect()
+    assert sorted(r["qid"] for r in got) == [1] * 5 + [2] * 5
+    assert all(r["id"] >= 12 for r in got if r["qid"] == 1) and all(r["id"] != 50 for r in got if r["qid"] == 2)
+    assert similarity.similarity_to(vectors, 999).count() == 0
+
+
+def test_whitespace_table_keeps_every_row(spark, tmp_path):
+    from pyspark.errors import PySparkException
+    from pyspark.sql import types as T
+
+    from lodestat.sources import files
+
+    schema = T.StructType([T.StructField("K", T.StringType()), T.StructField("V", T.StringType())])
+    (tmp_path / "a.txt").write_text("K  V\nx 1\nK z\n\n  y\t\"2\n")
+    got = files.read_whitespace_table(spark, str(tmp_path / "a.txt"), schema).collect()
+    assert [tuple(r) for r in got] == [("x", "1"), ("K", "z"), ("y", '"2')]
+    (tmp_path / "b.txt").write_text("K V\nx 1\n2\n")
+    with pytest.raises(PySparkException, match="expected 2 fields"):
+        files.read_whitespace_table(spark, str(tmp_path / "b.txt"), schema).collect()
