@@ -121,19 +121,36 @@ def g07b(t):
     return graph.path_lengths(*word_network(t), LANG, n_sources=63)
 
 
-@query("g08_random_graphs")
+# what every null model of these networks keeps: their sizes, no loops, no repeated edges
+_NULL_SQL = f"""WITH t AS (SELECT role AS lang, {S.WORDS_SQL} AS words FROM conversations),
+ links AS (SELECT lang, unnest(words[1:len(words)-1]) AS src, unnest(words[2:len(words)]) AS dst FROM t WHERE len(words) > 1),
+ ue AS (SELECT DISTINCT lang, least(src, dst) AS src, greatest(src, dst) AS dst FROM links WHERE src <> dst),
+ un AS (SELECT lang, src AS node FROM ue UNION ALL SELECT lang, dst FROM ue), dg AS (SELECT lang, node, count(*) AS d FROM un GROUP BY ALL),
+ sz AS (SELECT lang, count(*) AS n_edges FROM ue GROUP BY 1), reps AS (SELECT unnest(range({{reps}})) AS rep)"""
+
+
+def _kept(graphs):
+    """Per graph and replicate: edges, loops, repeated edges."""
+    return graphs.groupBy("lang", "rep").agg(
+        F.count(F.lit(1)).alias("n_edges"), F.count_if(F.col("src") == F.col("dst")).alias("loops"),
+        (F.count(F.lit(1)) - F.count_distinct(F.least("src", "dst"), F.greatest("src", "dst"))).alias("repeated"))
+
+
+@query("g08_random_graphs", _NULL_SQL.replace("{reps}", "2") + " SELECT lang, CAST(rep AS INTEGER) AS rep, n_edges, 0::BIGINT AS loops, 0::BIGINT AS repeated FROM sz, reps")
 def g08(t):
     nodes, edges = talk_network(t)
-    er = nullmodels.random_graphs(nodes, edges, LANG, 2)
-    return er.groupBy("lang", "rep").agg(F.count(F.lit(1)).alias("n_edges"), F.min("src").alias("lo"), F.max("dst").alias("hi"))
+    return _kept(nullmodels.random_graphs(nodes, edges, LANG, 2)).withColumn("rep", F.col("rep").cast("int"))
 
 
-@query("g09_degree_preserving_swaps")
+@query("g09_degree_preserving_swaps", _NULL_SQL.replace("{reps}", "1") + """, sq AS (SELECT lang, CAST(sum(d * d) AS BIGINT) AS squared_degrees, max(d) AS max_degree FROM dg GROUP BY 1)
+ SELECT lang, CAST(rep AS INTEGER) AS rep, n_edges, 0::BIGINT AS loops, 0::BIGINT AS repeated, squared_degrees, max_degree, true AS mostly_accepted FROM sz JOIN sq USING (lang), reps""")
 def g09(t):
     _, edges = talk_network(t)
     sw, share = nullmodels.swapped_graphs(edges, LANG, 1)
-    n = sw.groupBy("lang", "rep").agg(F.count(F.lit(1)).alias("n_edges"))
-    return n.join(share, ["lang", "rep"])
+    ends = sw.select("lang", "rep", F.explode(F.array("src", "dst")).alias("node")).groupBy("lang", "rep", "node").agg(F.count(F.lit(1)).alias("d"))
+    degrees = ends.groupBy("lang", "rep").agg(F.sum(F.col("d") * F.col("d")).alias("squared_degrees"), F.max("d").alias("max_degree"))
+    accepted = share.select("lang", "rep", (F.col("accepted_share") > 0.5).alias("mostly_accepted"))
+    return _kept(sw).join(degrees, ["lang", "rep"]).join(accepted, ["lang", "rep"]).withColumn("rep", F.col("rep").cast("int"))
 
 
 @query("g10_clustering_significance")
