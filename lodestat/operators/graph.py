@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lodestat.operators.frames import endpoints, rank_within
 from lodestat.operators.ordering import number_rows
-from lodestat.session import cut
+from lodestat.session import cut, release
 
 
 def degrees(nodes: DataFrame, edges: DataFrame, by: list[str] = (), directed: bool = False) -> DataFrame:
@@ -113,7 +113,8 @@ def components(nodes: DataFrame, edges: DataFrame, by: list[str] = (), max_round
     e = cut(edges.filter("src <> dst").select(*by, F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct())
     mark = None
     for _ in range(max_rounds):
-        e = cut(_small_star(_large_star(e, by), by))
+        e, old = cut(_small_star(_large_star(e, by), by)), e
+        release(old)
         new = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*by, "u", "v").cast("decimal(38,0)")).alias("h")).first()
         if mark == tuple(new):
             label = e.select(*by, F.col("u").alias("node"), F.col("v").alias("component"))
@@ -166,7 +167,7 @@ def path_lengths(nodes: DataFrame, edges: DataFrame, by: list[str], n_sources: i
     arcs = cut(edges.select(*by, F.col("src").alias("node"), F.col("dst").alias("to")).unionByName(
         edges.select(*by, F.col("dst").alias("node"), F.col("src").alias("to"))))
     key = [*by, "node", "block"]
-    seen, fresh = start, start
+    seen, fresh, held = start, start, None
     tally = []
     for level in itertools.count(1):
         reached = (
@@ -178,6 +179,8 @@ def path_lengths(nodes: DataFrame, edges: DataFrame, by: list[str], n_sources: i
                 F.coalesce("_in", F.lit(0).cast("bigint")).alias("_in"))
             .withColumn("new", F.col("_in").bitwiseAND(F.bitwise_not("_old")))
             .select(*key, F.col("_old").bitwiseOR(F.col("new")).alias("mask"), "new"))
+        release(held)  # the round before: ``merged`` was its last reader
+        held = merged
         fresh = merged.filter("new <> 0").select(*key, F.col("new").alias("mask"))
         gain = fresh.groupBy(*by).agg(F.sum(F.bit_count("mask")).alias("pairs")).collect()  # one row per graph
         if not gain:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lodestat.operators.frames import rank_within
 from lodestat.operators.graph import average_clustering, network_stats
-from lodestat.session import cut
+from lodestat.session import cut, release
 
 # Edges paired off together; hashing spreads them evenly, so a bucket stays about this size.
 _BUCKET = 64
@@ -121,7 +121,8 @@ def swapped_graphs(edges: DataFrame, by: list[str], reps: int, rounds: int | Non
     state = cut(_replicated(edges.select(*by, "src", "dst").join(size, by), reps)
                 .withColumn("proposed", zero).withColumn("swapped", zero))
     for n in range(swap_rounds(largest) if rounds is None else rounds):
-        state = cut(_round(state, key, n, seed))
+        state, old = cut(_round(state, key, n, seed)), state
+        release(old)
     share = state.groupBy(*key).agg(F.sum("proposed").alias("proposed"), F.sum("swapped").alias("swapped")).withColumn(
         "accepted_share", F.coalesce(F.try_divide("swapped", "proposed"), F.lit(0.0)))
     return state.select(*key, "src", "dst"), share

@@ -63,7 +63,22 @@ def cut(df: DataFrame) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, "cut")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.__dict__["_scratch"] = path
+    return out
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Delete the tables that ``cut`` wrote for these frames; nothing may read them any more.
+
+    Loops call it for a round once the next one is written.
+    """
+    for df in tables:
+        path = None if df is None else df.__dict__.pop("_scratch", None)
+        if path:
+            sc = df.sparkSession.sparkContext
+            p = sc._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def ship(spark: SparkSession) -> None:
