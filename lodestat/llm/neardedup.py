@@ -8,7 +8,7 @@ confirmed on the full sets.
 
 No pairs are made of a whole group.  Equal sets are one class from the start.  One member of
 every bucket, the hub, meets the others; links found join classes to components, and a bucket
-whose members are all in one component is done.  Members of the other buckets meet in tasks,
+whose other members are all in one component is done.  Those of the other buckets meet in tasks,
 in blocks of bounded size: first by registers, then, where one may have a partner in another
 component, by full sets.  A task returns at most one link for each two components it joins.
 No link is lost that the bands can see (a pair at the limit is missed with chance below 1e-6).
@@ -316,7 +316,9 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     pairs = banded.join(hubs, "band").filter("hub <> set_id").select(F.least("hub", "set_id").alias("a"), F.greatest("hub", "set_id").alias("b"))
     links = cut(same.unionByName(_confirm(cut(pairs.distinct()), classes, rows)).distinct())
     label = _labels(nodes, links)
-    members = cut(banded.join(label, "id").join(classes.select("set_id", "n_shingles"), "set_id"))
+    # the hub has met every member of its bucket already
+    others = banded.join(hubs, "band").filter("hub <> set_id").drop("hub")
+    members = cut(others.join(label, "id").join(classes.select("set_id", "n_shingles"), "set_id"))
     more = _joining(members, classes, rows)
     if not more.isEmpty():
         label = _labels(nodes, cut(links.unionByName(more)))
