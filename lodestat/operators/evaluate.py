@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lodestat.operators.frames import row_hash
 from lodestat.operators.ordering import number_rows, running_total
+from lodestat.session import per_group
 
 
 def confusion(df: DataFrame, truth: Column, score: Column, threshold: float, strict: bool = False) -> DataFrame:
@@ -127,7 +128,7 @@ def class_quantiles(df: DataFrame, col: str, by: str) -> DataFrame:
     from lodestat.functions.quantile import normal_quantile
 
     one = running_total(df.withColumn("_one", F.lit(1).cast("bigint")), "_one", [col], [by], "_i")
-    size = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
+    size = per_group(df.groupBy(by).agg(F.count(F.lit(1)).alias("_n")))
     return one.join(size, by).select(by, col, normal_quantile((F.col("_i") - 0.5) / F.col("_n")).alias("normal_q"))
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestat.session import cut
+from lodestat.session import cut, per_group
 
 # monotonically_increasing_id keeps the row position in the low 33 bits.
 _SLICE_BITS = 33
@@ -83,8 +83,9 @@ def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float], by=()) ->
         .groupBy(*by, F.col(col).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
+    counts = cut(counts)
     cum = running_total(counts, "_n", "_v", by, "_cum")
-    totals = cum.groupBy(*by).agg(F.sum("_n").alias("n"))
+    totals = per_group(counts.groupBy(*by).agg(F.sum("_n").alias("n")))
     if by:
         cum = cum.join(totals.withColumnsRenamed({b: f"_g_{b}" for b in by}),
                        on=_all_equal(by), how="inner").drop(*[f"_g_{b}" for b in by])

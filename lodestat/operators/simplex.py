@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lodestat.operators.linear import gram, terms_of
 from lodestat.operators.ordering import running_total
+from lodestat.session import per_group
 
 
 def project_simplex(df: DataFrame, value: str, by: list[str], total: float = 1.0, name: str = "projected") -> DataFrame:
@@ -26,7 +27,7 @@ def project_simplex(df: DataFrame, value: str, by: list[str], total: float = 1.0
     tau = (F.col("_s") - total) / F.col("_i")
     best = s.filter(F.col("_y") > tau).groupBy(*by).agg(F.max_by(tau, "_i").alias("_tau"))
     if by:
-        return df.join(best, by).withColumn(name, F.greatest(F.col(value) - F.col("_tau"), F.lit(0.0))).drop("_tau")
+        return df.join(per_group(best), by).withColumn(name, F.greatest(F.col(value) - F.col("_tau"), F.lit(0.0))).drop("_tau")
     return df.withColumn(name, F.greatest(F.col(value) - best.select("_tau").scalar(), F.lit(0.0)))
 
 

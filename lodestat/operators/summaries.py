@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestat.operators.ordering import exact_quantiles, first_per_key
+from lodestat.session import per_group
 
 QUARTILES = {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
 
@@ -83,7 +84,7 @@ def fences(df: DataFrame, col: str, by=(), k: float = 1.5) -> DataFrame:
 def outliers(df: DataFrame, col: str, by=(), k: float = 1.5) -> DataFrame:
     """Rows outside the fences."""
     by = [by] if isinstance(by, str) else list(by)
-    f = fences(df, col, by, k).select(*by, "low_fence", "high_fence")
+    f = per_group(fences(df, col, by, k).select(*by, "low_fence", "high_fence"))
     outside = (F.col(col) < F.col("low_fence")) | (F.col(col) > F.col("high_fence"))
     if by:
         return df.join(f, by).filter(outside).drop("low_fence", "high_fence")
@@ -94,7 +95,7 @@ def outliers(df: DataFrame, col: str, by=(), k: float = 1.5) -> DataFrame:
 def boxplot(df: DataFrame, col: str, by) -> DataFrame:
     """Per group: quartiles, whisker ends (furthest values inside the fences), outlier count."""
     by = [by] if isinstance(by, str) else list(by)
-    f = fences(df, col, by)
+    f = per_group(fences(df, col, by))
     inside = (F.col(col) >= F.col("low_fence")) & (F.col(col) <= F.col("high_fence"))
     ends = df.join(f.select(*by, "low_fence", "high_fence"), by).groupBy(*by).agg(
         F.min(F.when(inside, F.col(col))).alias("whisker_lo"),

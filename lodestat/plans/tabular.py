@@ -8,6 +8,7 @@ from lodestat.operators import frames, summaries
 from lodestat.operators.ordering import exact_quantiles, number_rows, running_total, top_per_key
 from lodestat.plans import standins as S
 from lodestat.plans.registry import query
+from lodestat.session import per_group
 
 
 def r(col, digits=6):
@@ -184,7 +185,7 @@ def j05(t):
 @query("j06_attach_metric", """SELECT d.doc_id, d.lang, round(m.mean_chars, 6) AS mean_chars FROM documents d
  JOIN (SELECT lang, avg(n_chars) AS mean_chars FROM documents GROUP BY 1) m ON d.lang = m.lang""")
 def j06(t):
-    metric = t.documents.groupBy("lang").agg(r(F.avg("n_chars")).alias("mean_chars"))
+    metric = per_group(t.documents.groupBy("lang").agg(r(F.avg("n_chars")).alias("mean_chars")))
     return t.documents.select("doc_id", "lang").join(metric, "lang")
 
 

@@ -8,6 +8,7 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Applications whose workers already have the package.
 _SHIPPED: set[str] = set()
@@ -68,6 +69,17 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+def per_group(df: DataFrame, rows: int = 20_000) -> DataFrame:
+    """A table of one row per group, written once; broadcast when it has at most ``rows`` rows.
+
+    A broadcast keeps the large side of a join where it is, so a group that holds a third of
+    its rows stays spread over all tasks.  A longer table is joined by shuffle, where adaptive
+    execution splits such groups.
+    """
+    kept = cut(df)
+    return F.broadcast(kept) if kept.limit(rows + 1).count() <= rows else kept
+
+
 def release(*tables: DataFrame | None) -> None:
     """Delete the tables that ``cut`` wrote for these frames; nothing may read them any more.
 
