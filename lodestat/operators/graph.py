@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestat.operators.frames import endpoints, rank_within
-from lodestat.operators.ordering import number_rows
 from lodestat.session import cut, release
 
 
@@ -53,39 +52,42 @@ def degree_sequence_stats(deg: DataFrame, by: list[str]) -> DataFrame:
         (F.sum(d) / F.count(F.lit(1))).alias("m_per_n"), (F.count(F.lit(1)) / F.sum(d)).alias("n_per_m"))
 
 
-def triangles(edges: DataFrame, by: list[str] = ()) -> DataFrame:
-    """Number of triangles at each node that has any.
+def _numbered(edges: DataFrame, by: list[str]) -> DataFrame:
+    """Nodes with an edge, their degree and a number ``id`` of no meaning, so that joins carry no names."""
+    deg = degrees(endpoints(edges, by), edges, by)
+    return cut(deg.withColumn("id", F.monotonically_increasing_id()))
+
+
+def _triangles(edges: DataFrame, ids: DataFrame, by: list[str]) -> DataFrame:
+    """(id, triangles).
 
     Edges point from the lower to the higher degree, so a node sends out at most
     sqrt(2E) of them and hubs do not blow up the wedge join.
     """
+    ends = [ids.select(*by, F.col("node").alias(end), F.struct("degree", "id").alias(name)) for end, name in (("src", "_a"), ("dst", "_b"))]
+    both = edges.join(ends[0], [*by, "src"]).join(ends[1], [*by, "dst"])
+    up = cut(both.select(F.least("_a", "_b")["id"].alias("low"), F.greatest("_a", "_b")["id"].alias("high")))
+    wedge = up.withColumnRenamed("high", "x").join(up.withColumnRenamed("high", "y"), "low").filter("x < y")
+    closed = wedge.join(up.select(F.least("low", "high").alias("x"), F.greatest("low", "high").alias("y")), ["x", "y"])
+    return closed.select(F.explode(F.array("low", "x", "y")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("triangles"))
+
+
+def triangles(edges: DataFrame, by: list[str] = ()) -> DataFrame:
+    """Number of triangles at each node that has any."""
     by = list(by)
-    deg = degrees(endpoints(edges, by), edges, by)
-    # one number per node over all graphs, rising with degree: joins carry numbers, not names
-    ids = cut(number_rows(deg, ["degree", *by, "node"], "id")).select(*by, "node", "id")
-    numbered = (
-        edges.join(ids.withColumnsRenamed({"node": "src", "id": "_a"}), [*by, "src"])
-        .join(ids.withColumnsRenamed({"node": "dst", "id": "_b"}), [*by, "dst"])
-    )
-    up = cut(numbered.select(F.least("_a", "_b").alias("low"), F.greatest("_a", "_b").alias("high")))
-    a, b = up.withColumnRenamed("high", "x"), up.withColumnRenamed("high", "y")
-    wedge = a.join(b, "low").filter("x < y")
-    closed = wedge.join(up.withColumnsRenamed({"low": "x", "high": "y"}), ["x", "y"])
-    return (
-        closed.select(F.explode(F.array("low", "x", "y")).alias("id"))
-        .groupBy("id").agg(F.count(F.lit(1)).alias("triangles"))
-        .join(ids, "id").select(*by, "node", "triangles")
-    )
+    ids = _numbered(edges, by)
+    return _triangles(edges, ids, by).join(ids, "id").select(*by, "node", "triangles")
 
 
 def local_clustering(nodes: DataFrame, edges: DataFrame, by: list[str] = ()) -> DataFrame:
     """2t/(d(d-1)) per node, 0 below degree two."""
     by = list(by)
-    d = F.col("degree")
+    ids = _numbered(edges, by)
+    d = F.coalesce("degree", F.lit(0))
+    known = ids.join(_triangles(edges, ids, by), "id", "left").drop("id")
     return (
-        degrees(nodes, edges, by).join(triangles(edges, by), [*by, "node"], "left")
-        .withColumn("c", F.coalesce(F.try_divide(2.0 * F.col("triangles"), d * (d - 1)), F.lit(0.0)))
-        .select(*by, "node", "degree", "c")
+        nodes.select(*by, "node").join(known, [*by, "node"], "left")
+        .select(*by, "node", d.alias("degree"), F.coalesce(F.try_divide(2.0 * F.col("triangles"), d * (d - 1)), F.lit(0.0)).alias("c"))
     )
 
 

@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestat.operators import distfit, graph
+from lodestat.operators import distfit
 from lodestat.plans import standins as S
-from lodestat.plans.graphs import LANG, directed_network
+from lodestat.plans.graphs import LANG
 from lodestat.plans.registry import query
 from lodestat.plans.tabular import r
 from lodestat.session import cut
 
 
 def out_degrees(t):
-    nodes, edges = directed_network(t)
-    return cut(graph.degrees(nodes, edges, LANG, directed=True).filter("degree > 0").select("lang", "degree"))
+    """Out-degrees above zero: every node of a link is counted where it is the source."""
+    links = S.word_links(t).distinct()
+    return cut(links.groupBy(*LANG, "src").agg(F.count(F.lit(1)).alias("degree")).select(*LANG, "degree"))
 
 
 _STATS_SQL = f"""{S.DEDGES_SQL}, deg AS (SELECT lang, src, count(*) AS k FROM de GROUP BY ALL),

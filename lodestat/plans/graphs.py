@@ -20,7 +20,7 @@ def word_network(t):
 
 
 def directed_network(t):
-    edges = S.word_links(t).distinct()
+    edges = cut(S.word_links(t).distinct())
     return frames.endpoints(edges, LANG), edges
 
 
