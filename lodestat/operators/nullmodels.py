@@ -72,11 +72,10 @@ def _round(state: DataFrame, key: list[str], n: int, seed: int) -> DataFrame:
         "_bucket", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("_h")), F.ceil(F.col("n_edges") / _BUCKET)))
     rows = buckets.groupBy(*key, "n_edges", "_bucket").agg(
         F.sort_array(F.collect_list(F.struct("_h", "src", "dst", "proposed", "swapped"))).alias("e"))
-    numbered = rows.select(*key, "n_edges", F.posexplode("e").alias("_p", "_e"), "e")
-    mate = F.try_element_at("e", F.col("_p") + 2)
     # neighbours in hash order are partners: positions 0-1, 2-3, ...; an odd last one rests
-    pair = numbered.filter(F.pmod("_p", F.lit(2)) == 0).select(
-        *key, "n_edges", F.col("_e").alias("p"), mate.alias("q"))
+    partners = F.transform(F.sequence(F.lit(0), F.size("e") - 1, F.lit(2)), lambda i: F.struct(
+        F.get("e", i).alias("p"), F.get("e", i + 1).alias("q")))
+    pair = rows.select(*key, "n_edges", F.explode(partners).alias("_two")).select(*key, "n_edges", "_two.p", "_two.q")
     flip = F.pmod(F.xxhash64(F.lit(seed + 2), F.col("p._h"), F.col("q._h")), F.lit(2)) == 0
     c = F.when(flip, F.col("q.src")).otherwise(F.col("q.dst"))
     d = F.when(flip, F.col("q.dst")).otherwise(F.col("q.src"))
@@ -120,8 +119,11 @@ def swapped_graphs(edges: DataFrame, by: list[str], reps: int, rounds: int | Non
     zero = F.lit(0).cast("bigint")
     state = cut(_replicated(edges.select(*by, "src", "dst").join(size, by), reps)
                 .withColumn("proposed", zero).withColumn("swapped", zero))
+    # a graph stops at its own number of rounds
+    own = F.greatest(F.lit(1), 2 * F.bround(F.log(F.greatest("n_edges", F.lit(2))), 0))
     for n in range(swap_rounds(largest) if rounds is None else rounds):
-        state, old = cut(_round(state, key, n, seed)), state
+        due = F.lit(n) < own if rounds is None else F.lit(True)
+        state, old = cut(_round(state.filter(due), key, n, seed).unionByName(state.filter(~due))), state
         release(old)
     share = state.groupBy(*key).agg(F.sum("proposed").alias("proposed"), F.sum("swapped").alias("swapped")).withColumn(
         "accepted_share", F.coalesce(F.try_divide("swapped", "proposed"), F.lit(0.0)))
