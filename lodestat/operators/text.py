@@ -96,11 +96,15 @@ def token_log_probs(sentences: DataFrame, key: list[str], words: str, model, k:
     seq = sentences.select(*key, F.posexplode(F.arrays_zip(
         F.col(words).alias("token"), F.concat(F.array(F.lit(None).cast("string")), F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))).alias("before"))).alias("pos", "e")
     ).select(*key, "pos", "e.token", "e.before").filter("token IS NOT NULL")
-    seq = (
-        seq.join(c2.withColumnsRenamed({"w1": "before", "w2": "token"}), ["before", "token"], "left")
+    # each pair of words is scored once, so a frequent word is joined per pair and not per occurrence
+    pairs = (
+        seq.select("before", "token").distinct()
+        .join(c2.withColumnsRenamed({"w1": "before", "w2": "token"}), ["before", "token"], "left")
         .join(c1.withColumnsRenamed({"w": "before", "c1": "_cb"}), "before", "left")
         .join(c1.withColumnsRenamed({"w": "token", "c1": "_ct"}), "token", "left")
+        .withColumnsRenamed({"before": "_before", "token": "_token"})
     )
+    seq = seq.join(pairs, F.col("before").eqNullSafe(F.col("_before")) & (F.col("token") == F.col("_token")))
     zero = F.lit(0)
     first = F.log((F.coalesce("_ct", zero) + k) / (total + k * vocab))
     later = F.log((F.coalesce("c2", zero) + k) / (F.coalesce("_cb", zero) + k * vocab))
@@ -137,8 +141,10 @@ def token_chunks(docs: DataFrame, key: str, text: str, size: int, overlap: int)
         raise ValueError("overlap must be at least 0 and below size")
     d = docs.select(key, tokens(F.col(text)).alias("_t")).filter(F.size("_t") > 0)
     last = F.greatest(F.size("_t") - overlap - 1, F.lit(0))
-    starts = d.select(key, "_t", F.posexplode(F.sequence(F.lit(0), last, F.lit(size - overlap))).alias("chunk", "start"))
-    return starts.select(key, "chunk", "start", F.slice("_t", F.col("start") + 1, F.lit(size)).alias("words"))
+    # windows are cut before the rows multiply, so no row carries the whole text
+    cuts = F.transform(F.sequence(F.lit(0), last, F.lit(size - overlap)), lambda at, i: F.struct(
+        i.alias("chunk"), at.alias("start"), F.slice("_t", at + 1, F.lit(size)).alias("words")))
+    return d.select(key, F.explode(cuts).alias("c")).select(key, "c.chunk", "c.start", "c.words")
 
 
 SEPARATORS = ("\n\n", "\n", " ", "")
