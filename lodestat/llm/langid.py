@@ -148,7 +148,10 @@ def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     return annotate(needed, id_col, text_col, lang_col).drop("input")
 
 
-def known(docs: DataFrame, least: float = 0.05, **columns: str) -> DataFrame:
-    """The rows of ``docs`` whose language is known with a score of ``least`` or more."""
+def known(docs: DataFrame, least: float = 0.0, **columns: str) -> DataFrame:
+    """The rows of ``docs`` whose language is known with a score of ``least`` or more.
+
+    By default only texts without a language go: a small lead is common in texts of two languages.
+    """
     told = annotate(docs, **columns).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
     return told.select("input.*")
