@@ -11,7 +11,7 @@ every bucket, the hub, meets the others; links found join classes to components,
 whose other members are all in one component is done.  Those of the other buckets meet in tasks,
 in blocks of bounded size: first by registers, then, where one may have a partner in another
 component, by full sets.  A task returns at most one link for each two components it joins.
-No link is lost that the bands can see (a pair at the limit is missed with chance below 1e-6).
+No link is lost that the bands can see (a pair at the limit is missed with chance below ``MISS``).
 
 Defined cases: null, empty and wordless texts have no shingles and no links; a text of one
 to four words is one shingle; rows that share an id are one document, linked with whatever
@@ -35,8 +35,8 @@ from lodestat.session import cut
 WORDS = 5
 REGISTERS = 128
 MANTISSA = 10
-ROWS = 5  # registers of a band
-LIMIT = (85, 100)  # linked when 100 x intersection >= 85 x union
+MISS = 1e-6  # chance at most with which the bands miss a pair at the limit
+LIMIT = (85, 100)  # linked when 100 x intersection >= 85 x union, unless a caller sets another limit
 MARGIN = 5.0  # standard deviations by which an estimate may lie below the limit
 BLOCK_ROWS = 2048  # members of one bucket that meet in one task
 BLOCK_SHINGLES = 4_000_000  # and their shingles
@@ -100,7 +100,13 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def bands(regs: np.ndarray) -> list[int]:
+def band_rows(limit: tuple[int, int]) -> int:
+    """Registers of a band: as many as leave a pair at the limit unseen with a chance below ``MISS``."""
+    j = limit[0] / limit[1]
+    return next((r for r in range(REGISTERS, 1, -1) if (1 - j**r) ** (REGISTERS // r) < MISS), 1)
+
+
+def bands(regs: np.ndarray, limit: tuple[int, int] = LIMIT) -> list[int]:
     """Signed 64-bit bucket keys; empty registers borrow from filled ones, by a fixed rule."""
     full = regs.copy()
     empty = np.flatnonzero(full == _EMPTY)
@@ -111,7 +117,8 @@ def bands(regs: np.ndarray) -> list[int]:
         empty = empty[full[empty] == _EMPTY]
     if len(empty):
         full[empty] = regs[regs != _EMPTY].min()
-    return [xxhash.xxh3_64_intdigest(full[a:a + ROWS].tobytes(), seed=a) - 2**63 for a in range(0, REGISTERS - ROWS + 1, ROWS)]
+    rows = band_rows(limit)
+    return [xxhash.xxh3_64_intdigest(full[a:a + rows].tobytes(), seed=a) - 2**63 for a in range(0, REGISTERS - rows + 1, rows)]
 
 
 def estimate(a: np.ndarray, b: np.ndarray, na: int, nb: int) -> tuple[float, int]:
@@ -124,17 +131,17 @@ def estimate(a: np.ndarray, b: np.ndarray, na: int, nb: int) -> tuple[float, int
     return max(0.0, (int((a == b)[used].sum()) - chance) / n), n
 
 
-def may_link(a: bytes, b: bytes, na: int, nb: int) -> bool:
-    if LIMIT[1] * min(na, nb) < LIMIT[0] * max(na, nb):
+def may_link(a: bytes, b: bytes, na: int, nb: int, limit: tuple[int, int] = LIMIT) -> bool:
+    if limit[1] * min(na, nb) < limit[0] * max(na, nb):
         return False
     j, n = estimate(np.frombuffer(a, "uint16"), np.frombuffer(b, "uint16"), na, nb)
-    limit = LIMIT[0] / LIMIT[1]
-    return j >= limit - MARGIN * np.sqrt(limit * (1 - limit) / n)
+    least = limit[0] / limit[1]
+    return j >= least - MARGIN * np.sqrt(least * (1 - least) / n)
 
 
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
+def linked(a: np.ndarray, b: np.ndarray, limit: tuple[int, int] = LIMIT) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
-    return LIMIT[1] * both >= LIMIT[0] * (len(a) + len(b) - both)
+    return limit[1] * both >= limit[0] * (len(a) + len(b) - both)
 
 
 def _digest(hashes: np.ndarray) -> bytes:
@@ -158,12 +165,12 @@ def sketches(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(sketch, "doc_id long, n_shingles long, set_id binary, regs binary")
 
 
-def _banded(classes: DataFrame) -> DataFrame:
+def _banded(classes: DataFrame, limit: tuple[int, int]) -> DataFrame:
     """``band, id, set_id``, one row per class and band."""
 
     def spread(batches):
         for b in batches:
-            keys = [bands(np.frombuffer(r.as_py(), "uint16")) for r in b.column(2)]
+            keys = [bands(np.frombuffer(r.as_py(), "uint16"), limit) for r in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys, pa.list_(pa.int64()))], names=["id", "set_id", "keys"])
 
     wide = classes.select("id", "set_id", "regs").mapInArrow(spread, "id long, set_id binary, keys array<long>")
@@ -190,13 +197,13 @@ def _sets_of(ids: DataFrame, set_ids: DataFrame, rows: DataFrame) -> DataFrame:
     return cut(texts.join(set_ids.distinct(), "set_id", "left_semi").groupBy("set_id").agg(F.first("s").alias("s")))
 
 
-def _confirm(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
+def _confirm(pairs: DataFrame, classes: DataFrame, rows: DataFrame, limit: tuple[int, int]) -> DataFrame:
     """Those of ``pairs`` (``a, b`` set ids) whose full sets are linked, as ``src, dst`` ids."""
 
     def likely(batches):
         for b in batches:
             p = {n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)}
-            keep = [i for i in range(b.num_rows) if may_link(p["regs_a"][i], p["regs_b"][i], p["n_shingles_a"][i], p["n_shingles_b"][i])]
+            keep = [i for i in range(b.num_rows) if may_link(p["regs_a"][i], p["regs_b"][i], p["n_shingles_a"][i], p["n_shingles_b"][i], limit)]
             yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(n)) for n in ("a", "b", "id_a", "id_b")], names=["a", "b", "src", "dst"]).take(pa.array(keep, pa.int64()))
 
     close = cut(_sides(pairs, classes, ["regs", "n_shingles", "id"]).mapInArrow(likely, "a binary, b binary, src long, dst long"))
@@ -206,7 +213,7 @@ def _confirm(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame
     def check(batches):
         for b in batches:
             keep = [i for i, (x, y) in enumerate(zip(b.column(2), b.column(3)))
-                    if linked(np.frombuffer(x.as_py(), "uint64"), np.frombuffer(y.as_py(), "uint64"))]
+                    if linked(np.frombuffer(x.as_py(), "uint64"), np.frombuffer(y.as_py(), "uint64"), limit)]
             yield b.select([0, 1]).take(pa.array(keep, pa.int64()))
 
     return _sides(close, sets, ["s"]).select("src", "dst", "s_a", "s_b").mapInArrow(check, "src long, dst long")
@@ -236,21 +243,21 @@ def _meets(pdf: pd.DataFrame, i: int) -> np.ndarray:
     return rest[ok]
 
 
-def _joining(members: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
+def _joining(members: DataFrame, classes: DataFrame, rows: DataFrame, limit: tuple[int, int]) -> DataFrame:
     """``src, dst`` links between components, from all buckets that hold several."""
 
     def hopeful(pdf: pd.DataFrame) -> pd.DataFrame:
         regs = np.frombuffer(b"".join(pdf["regs"]), "uint16").reshape(len(pdf), REGISTERS)
-        n, limit = pdf["n_shingles"].to_numpy("float64"), LIMIT[0] / LIMIT[1]
+        n, least = pdf["n_shingles"].to_numpy("float64"), limit[0] / limit[1]
         full, hope = regs != _EMPTY, np.zeros(len(pdf), bool)
         for i in range(len(pdf)):
             at = _meets(pdf, i)
-            at = at[np.minimum(n[at], n[i]) >= limit * np.maximum(n[at], n[i])]
+            at = at[np.minimum(n[at], n[i]) >= least * np.maximum(n[at], n[i])]
             if len(at):
                 used = (full[at] | full[i]).sum(1)
                 # accidental matches only raise the estimate, so leaving them in loses nothing
                 alike = ((regs[at] == regs[i]) & full[i]).sum(1) / used
-                at = at[alike >= limit - MARGIN * np.sqrt(limit * (1 - limit) / used)]
+                at = at[alike >= least - MARGIN * np.sqrt(least * (1 - least) / used)]
                 hope[at] = True
                 hope[i] |= len(at) > 0
         return pdf.loc[hope, ["band", "set_id", "id", "label", "n_shingles"]]
@@ -284,7 +291,7 @@ def _joining(members: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFra
             ends = np.cumsum(size[own])
             pos = np.arange(ends[-1]) + np.repeat(first[own] - (ends - size[own]), size[own])
             both = np.bincount(doc[pos], minlength=len(pdf))[at]
-            for j in at[LIMIT[1] * both >= LIMIT[0] * (n[at] + n[i] - both)]:
+            for j in at[limit[1] * both >= limit[0] * (n[at] + n[i] - both)]:
                 a, b = find(int(label[i])), find(int(label[j]))
                 if a != b:
                     parent[max(a, b)] = min(a, b)
@@ -296,14 +303,17 @@ def _joining(members: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFra
     return cut(met.groupBy(*key).applyInPandas(join, "src long, dst long").distinct())
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``."""
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: tuple[int, int] = LIMIT) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
+
+    Linked are sets with ``limit[1]`` x intersection >= ``limit[0]`` x union.
+    """
     rows = narrow(docs, doc_id=id_col, text=text_col)
     sketched = cut(sketches(rows))
     classes = cut(sketched.filter("set_id is not null and doc_id is not null").groupBy("set_id").agg(
         F.min("doc_id").alias("id"), F.first("regs").alias("regs"), F.first("n_shingles").alias("n_shingles")))
     # buckets of one class propose nothing
-    banded = _banded(classes)
+    banded = _banded(classes, limit)
     banded = cut(banded)
     busy = cut(banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band"))
     banded = cut(banded.join(busy, "band"))
@@ -314,12 +324,12 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         .join(nodes.withColumnRenamed("node", "src"), "src", "left_semi"))
     hubs = cut(banded.groupBy("band").agg(F.min_by("set_id", F.xxhash64("id")).alias("hub")))
     pairs = banded.join(hubs, "band").filter("hub <> set_id").select(F.least("hub", "set_id").alias("a"), F.greatest("hub", "set_id").alias("b"))
-    links = cut(same.unionByName(_confirm(cut(pairs.distinct()), classes, rows)).distinct())
+    links = cut(same.unionByName(_confirm(cut(pairs.distinct()), classes, rows, limit)).distinct())
     label = _labels(nodes, links)
     # the hub has met every member of its bucket already
     others = banded.join(hubs, "band").filter("hub <> set_id").drop("hub")
     members = cut(others.join(label, "id").join(classes.select("set_id", "n_shingles"), "set_id"))
-    more = _joining(members, classes, rows)
+    more = _joining(members, classes, rows, limit)
     if not more.isEmpty():
         label = _labels(nodes, cut(links.unionByName(more)))
     of_set = cut(classes.select("set_id", "id").join(label, "id").select("set_id", "label"))
@@ -329,8 +339,8 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: tuple[int, int] = LIMIT) -> DataFrame:
     """The rows of ``docs`` without those that another document of their component stands for."""
-    gone = cut(groups(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct())
+    gone = cut(groups(docs, id_col, text_col, limit).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct())
     # one long per id: at most 16 MB when broadcast, shuffled beyond that
     return docs.join(small(gone, 1_000_000), F.col(f"`{id_col}`") == F.col("gone_id"), "left_anti")

@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 
 import corpus_pipeline
+from lodestat.llm import neardedup
 from lodestat.llm.tokens import Encoder
 from lodestat.session import cut
 
@@ -83,6 +84,35 @@ def test_one_document_of_each_near_group_stays(steps):
     assert after == {k: t for k, t in before.items() if find(k) == k}
 
 
+def test_near_copies_go_from_080(spark):
+    def words(own, n):
+        return " ".join([f"w{j}" for j in range(100)] + [f"{own}{j}" for j in range(n)])
+
+    # 96 shared shingles each: 96 of 118 (0.81) are near copies, 96 of 124 (0.77) are not
+    rows = [(0, words("a", 11)), (1, words("b", 11)), (2, words("c", 17))]
+    assert [(round(len(x & y) / len(x | y), 2)) for x, y in itertools.combinations([frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4)) for w in (t.split() for _, t in rows)], 2)] == [0.81, 0.77, 0.77]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_copies(spark, frame, SF).collect()) == [0, 2]
+    assert neardedup.band_rows((85, 100)) == 5 and neardedup.band_rows((80, 100)) == 4
+
+
+def test_near_stage_agrees_with_brute_force_at_080(steps):
+    before, after = _texts(steps[2][1]), _texts(steps[3][1])
+    sets = {k: s for k, t in before.items() if len(s := neardedup.shingles(t))}
+    parent = {k: k for k in before}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in itertools.combinations(sorted(sets), 2):
+        if neardedup.linked(sets[a], sets[b], (80, 100)):
+            x, y = find(a), find(b)
+            parent[max(x, y)] = min(x, y)
+    assert after == {k: t for k, t in before.items() if find(k) == k}
+
+
 def test_mix_repeats_whole_documents_near_targets(steps):
     before, after = steps[3][1], steps[4][1]
     size = {r["doc_id"]: len(WORD.findall(r["text"] or "")) for r in before}
