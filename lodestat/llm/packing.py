@@ -35,7 +35,6 @@ WINDOW = 4096
 SHARD_DOCS = 256
 K1, B = 1.2, 0.75
 ROUTE_DF = 16  # terms of fewer documents bring no neighbours together
-COMMON = 0.2  # a term in more than this share of all documents says nothing: BM25 weighs it near 0
 _TYPE = "<u2"  # ids of vocabularies up to 65 536
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -76,8 +75,6 @@ class Shard:
     def __init__(self, terms: list[np.ndarray], times: list[np.ndarray], lengths: np.ndarray, idf: np.ndarray, mean: float):
         doc = np.repeat(np.arange(len(terms)), [len(t) for t in terms])
         term, tf = np.concatenate(terms).astype("int64"), np.concatenate(times).astype("float64")
-        keep = idf[term] > 0
-        doc, term, tf = doc[keep], term[keep], tf[keep]
         weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[doc] / mean))
         order = np.argsort(term, kind="stable")
         self.doc, self.weight, term = doc[order], weight[order], term[order]
@@ -128,8 +125,7 @@ def _packed(docs: DataFrame, tokenizer: str, end_id: int, drops_space: bool, win
     n, ids = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length("ids"))).first()
     if not n:
         return spark.createDataFrame([], _PIECES + ", ids array<int>")
-    idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-    idf[df > max(COMMON * n, 1)] = 0
+    idf = np.log(1 + (n - df + 0.5) / (df + 0.5))  # above 0 for every df, so every term counts
     shared = spark.sparkContext.broadcast((idf, df, ids / 2 / n))  # two tables of 65 536 numbers
 
     def route(batches):
@@ -138,7 +134,7 @@ def _packed(docs: DataFrame, tokenizer: str, end_id: int, drops_space: bool, win
             keys = []
             for t in b.column(2):
                 t = np.frombuffer(t.as_py(), _TYPE)
-                t = t[(idf[t] > 0) & (df[t] >= ROUTE_DF)]
+                t = t[df[t] >= ROUTE_DF]
                 best = t[np.argsort(-idf[t], kind="stable")[:3]] if len(t) else np.empty(0, "int64")
                 keys.append(sum(int(x) << s for x, s in zip(np.sort(best)[::-1], (32, 16, 0))))
             yield b.append_column("route", pa.array(keys, pa.int64()))

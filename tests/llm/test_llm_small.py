@@ -446,3 +446,14 @@ def test_shard_scores_are_bm25():
     for d in range(20):
         want = sum(idf[t] * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * lengths[d] / 25.0)) for t, n in zip(terms[d], times[d]) if t in terms[3])
         assert got[d] == pytest.approx(want)
+
+
+def test_terms_of_a_third_of_all_documents_bring_them_together(spark):
+    ship(spark)
+    topics = ["river boat water fish shore", "engine wheel motor brake road", "flour bread oven sugar butter"]
+    frame = spark.createDataFrame([(i, " ".join([topics[i % 3]] * 3)) for i in range(120)], "doc_id long, text string").repartition(3)
+    held = collections.defaultdict(set)
+    for r in packing.pack(frame, WORDS, 2, window=64).collect():
+        held[r["sequence_id"]].add(r["doc_id"] % 3)
+    # at most the places where one topic ends and the next begins, in each of four partitions
+    assert sum(len(x) > 1 for x in held.values()) <= 12 < len(held) / 2
