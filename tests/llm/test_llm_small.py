@@ -210,6 +210,25 @@ def test_shifted_passages_are_cut_once(spark):
     assert got[11] == [""] and got[12] == ["other"] and got[13] == [None] and got[14] == [""] and got[None] == [""] and got[15] == ["", ""]
 
 
+def test_every_repeat_of_fifty_words_in_whole_lines_is_cut(spark):
+    ship(spark)
+    rng, rows, want = np.random.default_rng(5), [], {}
+    for k in range(40):
+        # 50 words or more in two to twelve lines, uneven, some blank, between foreign lines
+        sizes = [int(x) for x in rng.integers(0, 30, int(rng.integers(2, 13)))]
+        sizes[0], sizes[-1] = 8, max(1, 50 - sum(sizes[1:-1]) - 8, sizes[-1])
+        passage = [" ".join(f"p{k}x{i}y{j}" for j in range(n)) for i, n in enumerate(sizes)]
+        for copy in range(2):
+            before, after = ([f"own {k} {copy} {side} {i}" for i in range(int(rng.integers(0, 4)))] for side in "ab")
+            rows.append((2 * k + copy, "\n".join(before + passage + after)))
+            want[2 * k + copy] = "\n".join(before + ([] if copy else passage) + after)
+    rows.append((900, "\n".join(["one line of ten words that comes again and again"] * 12)))
+    want[900] = "\n".join(["one line of ten words that comes again and again"] * 5)
+    got = {r["doc_id"]: r["text"] for r in linededup.clean(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert {k for k in want if got[k] != want[k] and k != 900} == set()
+    assert 1 <= got[900].count("one line") <= 5
+
+
 def test_line_report_of_edge_cases(spark, docs, none):
     got = linededup.report(docs)
     assert got.count() == docs.count() and linededup.report(none).count() == 0
