@@ -36,6 +36,7 @@ RIDGE = 1e-4
 UNKNOWN = "und"
 _BLOCK = 1 << 20  # characters hashed at a time
 _BATCH = 64  # texts per matrix product
+_ROWS = 128  # sampled rows unpacked at a time
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -60,14 +61,20 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
 
 
+def _unpacked(bits: list[bytes]) -> np.ndarray:
+    rows = np.unpackbits(np.frombuffer(b"".join(bits), "uint8")).reshape(len(bits), BINS)
+    return _unit(rows.astype("float32"))
+
+
 def fit(bits: list[bytes], langs: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, landmark matrix and dual coefficients from packed presence rows."""
     names = sorted(set(langs))
-    x = _unit(np.unpackbits(np.frombuffer(b"".join(bits), "uint8")).reshape(len(bits), BINS).astype("float32"))
     y = np.where(np.array(langs)[:, None] == np.array(names)[None, :], 1.0, -1.0)
-    marks = x[:LANDMARKS]
-    k_nm, k_mm = (x @ marks.T).astype("float64"), (marks @ marks.T).astype("float64")
-    system = k_nm.T @ k_nm + RIDGE * len(x) * k_mm
+    # presence rows are unpacked a few at a time: what stays is the landmarks and their kernel values
+    marks = _unpacked(bits[:LANDMARKS])
+    k_nm = np.concatenate([(_unpacked(bits[at:at + _ROWS]) @ marks.T).astype("float64") for at in range(0, len(bits), _ROWS)])
+    k_mm = k_nm[:len(marks)]
+    system = k_nm.T @ k_nm + RIDGE * len(bits) * k_mm
     alpha = np.linalg.solve(system + 1e-6 * np.trace(system) / len(system) * np.eye(len(system)), k_nm.T @ y)
     return names, marks, alpha
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestat.llm.common import narrow, slices
-from lodestat.llm.tokens import encoder
+from lodestat.llm.tokens import batch_encoder, with_end
 from lodestat.session import scratch_path
 
 WINDOW = 4096
@@ -36,6 +36,7 @@ SHARD_DOCS = 256
 K1, B = 1.2, 0.75
 ROUTE_DF = 16  # terms of fewer documents bring no neighbours together
 _TYPE = "<u2"  # ids of vocabularies up to 65 536
+_TIMES = "<u4"
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -44,17 +45,14 @@ def encode(docs: DataFrame, path: str, tokenizer: str, end_id: int, drops_space:
     """Write ``doc_id, ids, terms, times`` per document, and ``term, df`` per task, below ``path``."""
 
     def run(batches):
-        enc, df = encoder(tokenizer, drops_space, 2), np.zeros(1 << 16, "int64")
-        end = int(end_id).to_bytes(2, "little")
+        enc, df = batch_encoder(tokenizer, drops_space, 2), np.zeros(1 << 16, "int64")
         for b in batches:
-            ids, terms, times = [], [], []
-            for text in b.column(1):
-                ids.append(enc.encode([text.as_py()])[0] + end)
-                t, n = np.unique(np.frombuffer(ids[-1], _TYPE), return_counts=True)
-                df[t] += 1
-                terms.append(t.tobytes())
-                times.append(np.minimum(n, 65535).astype(_TYPE).tobytes())
-            yield _rows(schema, b.num_rows, {"kind": ["doc"] * b.num_rows, "doc_id": b.column(0).cast(pa.int64()), "ids": ids, "terms": terms, "times": times})
+            ids, before = with_end(*enc.encode(b.column(1)), end_id)
+            first, terms, times = count_terms(ids, before)
+            df += np.bincount(terms, minlength=1 << 16)
+            cells = {"ids": (ids, before), "terms": (terms, first), "times": (times, first)}
+            yield _rows(schema, b.num_rows, {"kind": ["doc"] * b.num_rows, "doc_id": b.column(0).cast(pa.int64()),
+                                             **{c: [v[i:j].tobytes() for i, j in zip(at.tolist(), at[1:].tolist())] for c, (v, at) in cells.items()}})
         used = np.flatnonzero(df)
         yield _rows(schema, len(used), {"kind": ["term"] * len(used), "term": used, "df": df[used]})
 
@@ -64,6 +62,15 @@ def encode(docs: DataFrame, path: str, tokenizer: str, end_id: int, drops_space:
      .write.option("compression", "zstd").partitionBy("kind").parquet(path))
 
 
+def count_terms(ids: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each text's terms begin, its distinct ids in order, and how often it holds each; one sort for all texts."""
+    text = np.repeat(np.arange(len(before) - 1), np.diff(before))
+    pairs = np.sort(text << 16 | ids)
+    at = np.flatnonzero(np.diff(pairs, prepend=-1))
+    pairs, times = pairs[at], np.diff(at, append=len(ids))
+    return np.searchsorted(pairs, np.arange(len(before)) << 16), (pairs & 0xFFFF).astype(_TYPE), times.astype(_TIMES)
+
+
 def _rows(schema: pa.Schema, n: int, columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns and not isinstance(columns[f.name], pa.Array)
                                        else columns.get(f.name, pa.nulls(n, f.type)) for f in schema], schema=schema)
@@ -215,7 +222,7 @@ def _fill(held: list[tuple], writer: _Writer, idf: np.ndarray, mean: float, wind
     order = sorted(range(len(held)), key=lambda i: (held[i][0] is None, held[i][0] or 0))
     ids = [np.frombuffer(held[i][1], _TYPE) for i in order]
     terms = [np.frombuffer(held[i][2], _TYPE).astype("int64") for i in order]
-    times = [np.frombuffer(held[i][3], _TYPE) for i in order]
+    times = [np.frombuffer(held[i][3], _TIMES) for i in order]
     lengths = np.array([len(x) for x in ids], "float64")
     index, unused, seed = Shard(terms, times, lengths, idf, mean), np.ones(len(held), bool), -1
     while unused.any():

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestat.llm.common import narrow, slices
-from lodestat.llm.tokens import encoder
+from lodestat.llm.tokens import batch_encoder, with_end
 
 SHARD_IDS = 1 << 20  # a shard is closed once it holds this many ids; one long document may exceed it
 BUCKET_KEYS = 256  # mean number of keys of an index bucket
@@ -51,11 +51,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, drops_space:
         raise ValueError("end_id does not fit the width")
     ordered = (narrow(docs, doc_id=id_col, text=text_col)
                .repartitionByRange(slices(spark), "doc_id").sortWithinPartitions("doc_id"))
-    end = int(end_id).to_bytes(width, "little")
-
     def shards(batches):
         part, seq = TaskContext.get().partitionId(), 0
-        enc = encoder(tokenizer, drops_space, width)
+        enc = batch_encoder(tokenizer, drops_space, width)
         keys, lengths, payload, size = [], [], [], 0
 
         def close():
@@ -65,11 +63,11 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, drops_space:
             }, schema=schema)
 
         for batch in batches:
-            for key, text in zip(batch.column(0), batch.column(1)):
-                ids = enc.encode([text.as_py()])[0] + end
-                keys.append(key.as_py())
-                lengths.append(len(ids) // width)
-                payload.append(ids)
+            ids, before = with_end(*enc.encode(batch.column(1)), end_id)
+            for key, a, b in zip(batch.column(0).to_pylist(), before.tolist(), before[1:].tolist()):
+                keys.append(key)
+                lengths.append(b - a)
+                payload.append(ids[a:b].tobytes())
                 size += lengths[-1]
                 if size >= SHARD_IDS:
                     yield close()

@@ -10,13 +10,15 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from lodestat.llm import exactdedup, langid, linededup, mixing, multiindex, neardedup, packing, pii, quality, tokenids
-from lodestat.llm.tokens import Encoder
+from lodestat.llm.tokens import BatchEncoder
 from lodestat.session import scratch_path, ship
 
 SCHEMA = "doc_id long, text string, lang string, source string, fp long, input string, row string"
@@ -49,30 +51,45 @@ def _texts(df):
 # --- token ids -------------------------------------------------------------------------------
 
 
+def _tokenizer(path):
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
+def _same_ids(enc, texts):
+    want = [e.ids for e in _tokenizer(enc.path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    for _ in range(2):  # learned, then remembered
+        ids, before = enc.encode(pa.array(texts, pa.string()))
+        assert [ids[a:b].tolist() for a, b in zip(before, before[1:])] == want
+
+
 @pytest.mark.parametrize("path,drops", [(BYTE, False), (WORDS, True)])
 @settings(max_examples=60, deadline=None)
-@given(text=st.text(alphabet=st.sampled_from("ab'tsZ09 .,!\n\t\r\x0b\x1c\x1f\x85\xa0 　é̈ΣßIİ<|>-_\x00"), max_size=40))
-def test_encoder_matches_the_library(path, drops, text):
-    enc = Encoder(path, drops, 4)
-    want = enc.tokenizer.encode(text, add_special_tokens=False).ids
-    for _ in range(2):  # learned, then remembered
-        assert np.frombuffer(enc.encode([text])[0], "<u4").tolist() == want
+@given(texts=st.lists(st.none() | st.text(alphabet=st.sampled_from("ab'tsZ09 .,!\n\t\r\x0b\x1c\x1f\x85\xa0\u2003\u3000“é̈ΣßIİ<|>-_\x00ÇÎ×÷"), max_size=40), max_size=5))
+def test_batches_match_the_library(path, drops, texts):
+    _same_ids(BatchEncoder(path, drops, 4), texts)
+
+
+@pytest.mark.parametrize("path,drops", [(BYTE, False), (WORDS, True)])
+def test_special_strings_and_long_pieces_are_text(path, drops):
+    _same_ids(BatchEncoder(path, drops, 2), ["a <|endoftext|> b", "<|startoftext|>", "x" * 500 + " y" * 900, None, "", " ", "<| a"])
 
 
 def test_encoder_forgets_beyond_its_bound():
-    enc = Encoder(BYTE, False, 4, memo=3)
-    text = "one two three four five, six."
-    assert enc.encode([text, text]) == [np.array(enc.tokenizer.encode(text).ids, "<u4").tobytes()] * 2
+    enc = BatchEncoder(BYTE, False, 4, memo=3)
+    _same_ids(enc, ["one two three four five, six."] * 2)
+    _same_ids(enc, ["seven eight"])
+    assert len(enc.memo) <= 3
 
 
 def test_token_ids_round_trip(spark, docs):
     path = scratch_path(spark, "test-ids")
     tokenids.write(docs, path, BYTE, 2)
     got = tokenids.documents_of(spark, path, docs).collect()
-    enc = Encoder(BYTE, False, 4)
-    start, want = 0, []
+    tokenizer, start, want = _tokenizer(BYTE), 0, []
     for key, text in sorted(_texts(docs), key=lambda r: (r[0] is not None, r[0], r[1] or "")):
-        ids = enc.encode([text])[0] + (2).to_bytes(4, "little")
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4").tobytes()
         want.append((key, len(ids) // 4, zlib.crc32(ids)))
         start += len(ids) // 4
     assert collections.Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got) == collections.Counter(want)
@@ -430,11 +447,11 @@ def test_walk_visits_cells_in_order(a, b):
 
 def test_packing_covers_every_id_once(spark, docs, none):
     pieces = packing.pack(docs, WORDS, 2).collect()
-    enc = Encoder(WORDS, True, 4)
+    tokenizer = _tokenizer(WORDS)
     left = collections.Counter()
     for key, text in _texts(docs):
-        ids = enc.encode([text])[0] + (2).to_bytes(4, "little")
-        left[key, len(ids) // 4] += len(ids) // 4
+        n = len(tokenizer.encode(text or "", add_special_tokens=False).ids) + 1
+        left[key, n] += n
     for r in pieces:
         left[r["doc_id"], r["doc_tokens"]] -= r["length"]
     assert not any(left.values())
