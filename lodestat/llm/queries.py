@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestat.llm import exactdedup, langid, linededup, mixing, multiindex, neardedup, packing, pii, quality, tokenids
+from lodestat.llm import align, exactdedup, hardneg, langid, linededup, mixing, multiindex, neardedup, packing, pii, quality, tokenids, wordtable
 from lodestat.session import scratch_path, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,45 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document, lines cut as repeats, and the hash of what stays."""
     return linededup.report(_table(spark, sf_dir, "documents"))
+
+
+@query("op11_hard_negatives", sql="""
+    with v as (
+      select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+             list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as c
+      from embeddings
+      where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    p as (
+      select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same,
+             cast(list_sum(list_transform(list_zip(a.c, b.c), lambda z: z[1] * z[2])) as bigint) as s
+      from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+    pos as (
+      select anchor_id, vec_id, s from p where same
+      qualify row_number() over (partition by anchor_id order by s desc, vec_id) <= 5)
+    select * from (
+      select pos.anchor_id, pos.vec_id as positive_id,
+             cast(row_number() over (partition by pos.anchor_id, pos.vec_id order by n.s desc, n.vec_id) as integer) as rank,
+             n.vec_id as negative_id, pos.s as positive_score, n.s as negative_score
+      from pos join p n on n.anchor_id = pos.anchor_id and not n.same and 30 * pos.s <= 100 * n.s and 100 * n.s <= 90 * pos.s)
+    where rank <= 10
+""")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives just below the five best positives of every row whose id is divisible by 100."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+@query("op13_bpe")
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and the text they decode to, as digests."""
+    held = wordtable.round_trip(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+    return held.select("doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op12_alignment")
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between two tokenizers for every document."""
+    docs = _table(spark, sf_dir, "documents")
+    return align.align(docs, _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"), with_groups=False).drop("groups")

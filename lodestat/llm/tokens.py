@@ -83,17 +83,19 @@ class BatchEncoder:
     texts are gathered by piece number.
 
     ``drops_space``: the tokenizer ignores white space (``word_bpe``) or keeps it in front of the
-    next word (``byte_bpe``).  ``width``: bytes of one id, 2 or 4.  ``memo``: pieces remembered.
+    next word (``byte_bpe``).  ``width``: bytes of one id, 2 or 4.
+    ``literal``: strings of special tokens are ordinary text.  ``memo``: pieces remembered.
     """
 
-    def __init__(self, path: str, drops_space: bool, width: int = 4, memo: int = 1_500_000):
+    def __init__(self, path: str, drops_space: bool, width: int = 4, literal: bool = True, memo: int = 1_500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.path, self.drops_space, self.width, self.type, self.limit, self.memo = path, drops_space, width, {2: "<u2", 4: "<u4"}[width], memo, {}
-        parts = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized and "<|" in t.content]
+        self.tokenizer.encode_special_tokens = literal
+        self.literal, self.path, self.drops_space, self.width, self.type, self.limit, self.memo = literal, path, drops_space, width, {2: "<u2", 4: "<u4"}[width], memo, {}
+        parts = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items()]
+        parts = parts if all("<|" in text for _, text in parts) else []
         self.mark_id, self.mark = min(parts, default=(None, None))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -129,15 +131,15 @@ class BatchEncoder:
         new = [i for i, f in enumerate(found) if f is None]
         for at in range(0, len(new), 1 << 14):
             part = new[at:at + (1 << 14)]
-            for i, ids in zip(part, self._encode([names[i].decode() for i in part])):
+            for i, ids in zip(part, self.encode_words([names[i].decode() for i in part])):
                 found[i] = ids
                 if len(names[i]) <= _MEMO_BYTES:
                     memo[names[i]] = ids
         size = np.fromiter(map(len, found), "int64", len(found)) // self.width
         return np.cumsum(size) - size, size, np.frombuffer(b"".join(found), self.type)
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text.
+    def encode_words(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, not remembered.
 
         A special token between two texts parts them, so one call of the library serves many
         texts; texts that hold such a token's own string are encoded one by one.
@@ -161,7 +163,7 @@ class BatchEncoder:
                     out[i] = flat[start * self.width:end * self.width]
                     start = end + 1
         finally:
-            tokenizer.encode_special_tokens = True
+            tokenizer.encode_special_tokens = self.literal
         return out
 
 
@@ -173,9 +175,9 @@ def with_end(ids: np.ndarray, before: np.ndarray, end_id: int) -> tuple[np.ndarr
 _BATCH_ENCODERS: dict[tuple, BatchEncoder] = {}
 
 
-def batch_encoder(path: str, drops_space: bool, width: int = 4) -> BatchEncoder:
+def batch_encoder(path: str, drops_space: bool, width: int = 4, literal: bool = True) -> BatchEncoder:
     """The worker's batch encoder; it lives as long as the worker, and so does its memo."""
-    key = (path, drops_space, width)
+    key = (path, drops_space, width, literal)
     if key not in _BATCH_ENCODERS:
-        _BATCH_ENCODERS[key] = BatchEncoder(path, drops_space, width)
+        _BATCH_ENCODERS[key] = BatchEncoder(path, drops_space, width, literal)
     return _BATCH_ENCODERS[key]
