@@ -33,7 +33,7 @@ from lodestat.llm.packed import by_weight, lists, squeeze, unsqueeze
 from lodestat.llm.tokens import batch_encoder, cut_before_space, pieces, spread, whole_texts
 from lodestat.session import cut
 
-CHUNK_BYTES = 1 << 24  # text in a chunk
+CHUNK_BYTES = 1 << 23  # text in a chunk
 B_IDS = 1 << 16  # ids of B are below; a pair is a * B_IDS + b
 
 _NUMBERS = ("n_a", "n_b", "n_groups", "n_links")

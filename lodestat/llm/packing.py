@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestat.llm.common import narrow, slices
-from lodestat.llm.tokens import batch_encoder, with_end
+from lodestat.llm.tokens import batch_encoder, parts, with_end
 from lodestat.session import scratch_path
 
 WINDOW = 4096
@@ -46,7 +46,7 @@ def encode(docs: DataFrame, path: str, tokenizer: str, end_id: int, drops_space:
 
     def run(batches):
         enc, df = batch_encoder(tokenizer, drops_space, 2), np.zeros(1 << 16, "int64")
-        for b in batches:
+        for b in (b.slice(i, j - i) for b in batches for i, j in parts(b.column(1))):
             ids, before = with_end(*enc.encode(b.column(1)), end_id)
             first, terms, times = count_terms(ids, before)
             df += np.bincount(terms, minlength=1 << 16)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestat.llm.common import narrow, slices
-from lodestat.llm.tokens import batch_encoder, with_end
+from lodestat.llm.tokens import batch_encoder, parts, with_end
 
 SHARD_IDS = 1 << 20  # a shard is closed once it holds this many ids; one long document may exceed it
 BUCKET_KEYS = 256  # mean number of keys of an index bucket
@@ -62,7 +62,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, drops_space:
                 "lengths": [np.array(lengths, "<u4").tobytes()], "payload": [b"".join(payload)],
             }, schema=schema)
 
-        for batch in batches:
+        for batch in (b.slice(i, j - i) for b in batches for i, j in parts(b.column(1))):
             ids, before = with_end(*enc.encode(batch.column(1)), end_id)
             for key, a, b in zip(batch.column(0).to_pylist(), before.tolist(), before[1:].tolist()):
                 keys.append(key)

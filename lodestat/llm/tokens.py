@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from lodestat.llm.packed import by_weight
+
 _TAIL = ".,;:!?"  # marks that start an id of their own after a letter
 _GAP = np.zeros(256, bool)  # ASCII white space
 _GAP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -167,6 +169,11 @@ class BatchEncoder:
         return out
 
 
+def parts(texts: pa.Array, most: int = 1 << 23) -> list[tuple[int, int]]:
+    """Slices of a batch with about ``most`` bytes of text each, which bound what one call of ``encode`` holds."""
+    return by_weight(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), most)
+
+
 def with_end(ids: np.ndarray, before: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """The same with ``end_id`` after each text."""
     return np.insert(ids, before[1:], end_id), before + np.arange(len(before))

@@ -31,7 +31,7 @@ from lodestat.llm.packed import by_weight, squeeze, unsqueeze
 from lodestat.llm.tokens import batch_encoder, spread
 from lodestat.session import cut
 
-CHUNK_WORDS = 1 << 22
+CHUNK_WORDS = 1 << 21
 GAPS = "[ \\t\\r\\n]+"
 
 _CHUNKS = "chunk long, keys array<long>, sizes binary, numbers binary, words array<string>"
