@@ -1,11 +1,13 @@
 """BPE encoding and decoding by a table of distinct words.
 
-1. Spark splits texts at blanks, tabs and line ends, where the tokenizers meant here join nothing.
-   Texts are packed into chunks of at most ``CHUNK_WORDS`` words; a chunk lists its distinct words
-   once and keeps a text as word numbers, most frequent words first.
+1. Spark splits texts at blanks, tabs and line ends and before marks that follow a letter, where the
+   tokenizers meant here join nothing.  Texts are packed into chunks of at most ``CHUNK_WORDS`` words;
+   a chunk lists its distinct words once and keeps a text as word numbers, most frequent words first.
+   For a tokenizer without regard to case, words that differ in ASCII case are one.
 2. The word lists of all chunks are shuffled by word and sorted, so each distinct word of the
    corpus is encoded once, however often it occurs.
-3. Ids go back to the chunks by (chunk, word number) and are put in place of the numbers.
+3. Ids go back to the chunks by (chunk, word number) and are put in place of the numbers.  The chunks
+   lie in a table bucketed by chunk, so only the ids travel.
 4. Decoding: the distinct ids of each chunk are joined with the id-to-piece table, and pieces go
    back by (chunk, id) in the same way.
 
@@ -19,6 +21,8 @@ out of the decoded text; an empty table gives no rows; other columns are ignored
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -26,19 +30,25 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestat.llm.common import narrow
+from lodestat.llm.common import narrow, slices
 from lodestat.llm.packed import by_weight, squeeze, unsqueeze
 from lodestat.llm.tokens import batch_encoder, spread
-from lodestat.session import cut
+from lodestat.session import cut, scratch_path
 
-CHUNK_WORDS = 1 << 21
-GAPS = "[ \\t\\r\\n]+"
+CHUNK_WORDS = 1 << 22
+# white space, or the place between a letter (ASCII or Latin-1) and a mark
+GAPS = r"[ \t\r\n]+|(?<=[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF])(?=[.,;:!?])"
 
 _CHUNKS = "chunk long, keys array<long>, sizes binary, numbers binary, words array<string>"
 _OUT = "doc_id long, ids binary, decoded string"
 
 
-def chunks(docs: DataFrame, most: int = CHUNK_WORDS) -> DataFrame:
+def _folded(words: pa.Array) -> pa.Array:
+    """ASCII letters lowered, but for words that may hold a special token's string."""
+    return pc.if_else(pc.match_substring(words, "<|"), words, pc.ascii_lower(words))
+
+
+def chunks(docs: DataFrame, fold: bool, most: int = CHUNK_WORDS) -> DataFrame:
     """``doc_id, text`` as chunks: keys, words per text, word numbers and the distinct words by number."""
     split = docs.select(F.col("doc_id").cast("long"), F.array_remove(F.split(F.col("text"), GAPS), "").alias("words"))
 
@@ -49,14 +59,18 @@ def chunks(docs: DataFrame, most: int = CHUNK_WORDS) -> DataFrame:
             for start, end in by_weight(sizes, most):
                 part = b.slice(start, end - start)
                 coded = part.column(1).flatten().dictionary_encode()
-                code, n = coded.indices.to_numpy(), len(coded.dictionary)
+                names, code = coded.dictionary, coded.indices.to_numpy()
+                if fold:
+                    again = _folded(names).dictionary_encode()
+                    names, code = again.dictionary, again.indices.to_numpy()[code]
+                n = len(names)
                 order = np.argsort(-np.bincount(code, minlength=n), kind="stable")
                 place = np.empty(n, "int64")
                 place[order] = np.arange(n)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([number]), pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())),
                     pa.array([squeeze(sizes[start:end])]), pa.array([squeeze(place[code])]),
-                    pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), coded.dictionary.take(pa.array(order)).cast(pa.string())),
+                    pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), names.take(pa.array(order)).cast(pa.string())),
                 ], names=["chunk", "keys", "sizes", "numbers", "words"])
                 number += 1
 
@@ -96,6 +110,22 @@ def pieces(spark: SparkSession, tokenizer: str) -> DataFrame:
     return spark.createDataFrame([(i, p) for p, i in held.get_vocab(with_added_tokens=True).items()], "id int, piece string")
 
 
+def _lists(values: pa.Array, sizes: np.ndarray) -> pa.Array:
+    return pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int64()), values)
+
+
+def _bucketed(df: DataFrame, key: str) -> DataFrame:
+    """``df`` written below the shared folder in buckets of ``key``, so that groups by it need no shuffle.
+
+    The catalogue knows the table only until it is read here; its files stay, as those of ``cut`` do.
+    """
+    spark, name = df.sparkSession, f"chunks_{uuid.uuid4().hex}"
+    df.write.format("parquet").option("path", scratch_path(spark, "chunks")).bucketBy(slices(spark), key).saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"drop table {name}")
+    return table
+
+
 def round_trip(docs: DataFrame, tokenizer: str, literal: bool = False, id_col: str = "doc_id", text_col: str = "text",
                most: int = CHUNK_WORDS) -> DataFrame:
     """``doc_id, ids, decoded`` of every row: ids as little-endian unsigned 32-bit integers, and the text they decode to.
@@ -103,7 +133,10 @@ def round_trip(docs: DataFrame, tokenizer: str, literal: bool = False, id_col: s
     For tokenizers that drop white space and name no decoder, whose decoded text is the pieces
     with blanks between them.
     """
-    packed = cut(chunks(narrow(docs, doc_id=id_col, text=text_col), most))
+    enc = batch_encoder(tokenizer, True, 4, literal)
+    normalizer = enc.tokenizer.normalizer
+    fold = normalizer is not None and normalizer.normalize_str("AZ") == "az"
+    packed = _bucketed(chunks(narrow(docs, doc_id=id_col, text=text_col), fold, most), "chunk")
     words = packed.select("chunk", F.posexplode("words").alias("no", "word"))
     ids = cut(encode_words(words, tokenizer, literal))
     used = ids.select("chunk", F.explode("ids").alias("id")).distinct()
@@ -119,23 +152,26 @@ def round_trip(docs: DataFrame, tokenizer: str, literal: bool = False, id_col: s
         sizes = unsqueeze(row["sizes"], len(keys)).astype("int64")
         code = unsqueeze(row["numbers"], int(sizes.sum()))
         is_word = pc.is_valid(rows.column("ids"))
-        word = rows.filter(is_word).select(["no", "ids"]).sort_by("no").combine_chunks()
-        piece = rows.filter(pc.invert(is_word)).select(["no", "piece"])
-        names = dict(zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()))
-        cells = word.column(1).combine_chunks() if word.num_rows else pa.array([], pa.list_(pa.int32()))
-        size = pc.list_value_length(cells).to_numpy(zero_copy_only=False).astype("int64")
-        flat = cells.flatten().to_numpy(zero_copy_only=False)
-        at = (np.cumsum(size) - size)
-        text = [" ".join([names[i] for i in x if i in names]) for x in cells.to_pylist()]
-        own = size[code]
-        before = np.concatenate([[0], np.cumsum(own)])
+        cells = rows.filter(is_word).select(["no", "ids"]).sort_by("no").column("ids").combine_chunks()
+        if not len(cells):
+            cells = pa.array([], pa.list_(pa.int32()))
+        named = rows.filter(pc.invert(is_word)).select(["no", "piece"]).sort_by("no").combine_chunks()
+        size, flat = pc.list_value_length(cells).to_numpy(zero_copy_only=False).astype("int64"), cells.flatten().to_numpy(zero_copy_only=False)
         edges = np.concatenate([[0], np.cumsum(sizes)])
-        out = flat[spread(at[code], own)].astype("<u4")
-        starts = before[edges].tolist()
-        ids_of = [out[a:b].tobytes() for a, b in zip(starts, starts[1:])]
-        number, edge = code.tolist(), edges.tolist()
-        decoded = [" ".join(filter(None, map(text.__getitem__, number[a:b]))) for a, b in zip(edge, edge[1:])]
-        return pa.table({"doc_id": pa.array(keys, pa.int64()), "ids": pa.array(ids_of, pa.binary()), "decoded": pa.array(decoded, pa.string())})
+        # ids of the texts, word after word
+        own = size[code]
+        before = np.concatenate([[0], np.cumsum(own)])[edges]
+        ids = flat[spread((np.cumsum(size) - size)[code], own)].astype("<u4")
+        ids_of = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(keys), [None, pa.py_buffer(before * 4), pa.py_buffer(np.ascontiguousarray(ids))])
+        # pieces of each word, then words of each text, with blanks between
+        known, piece = named.column("no").to_numpy(), named.column("piece").combine_chunks()
+        held = np.isin(flat, known)
+        size = np.diff(np.concatenate([[0], np.cumsum(held)])[np.concatenate([[0], np.cumsum(size)])])
+        text = pc.binary_join(_lists(piece.take(pa.array(np.searchsorted(known, flat[held]))), size), " ")
+        some = size[code] > 0
+        said = text.cast(pa.large_string()).take(pa.array(code[some]))
+        decoded = pc.binary_join(_lists(said, np.diff(np.concatenate([[0], np.cumsum(some)])[edges])), pa.scalar(" ", pa.large_string()))
+        return pa.table({"doc_id": pa.array(keys, pa.int64()), "ids": ids_of.cast(pa.binary()), "decoded": decoded.cast(pa.string())})
 
     return packed.drop("words").groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(put, _OUT)
 

@@ -66,7 +66,7 @@ def test_word_table_is_the_librarys_encoding(texts, literal):
 
 
 def test_words_are_encoded_once(spark, texts):
-    chunks = wordtable.chunks(texts.select("doc_id", "text"), 200).cache()  # many chunks that share words
+    chunks = wordtable.chunks(texts.select("doc_id", "text"), True, 200).cache()  # many chunks that share words
     assert chunks.count() > 10
     words = chunks.select("chunk", F.posexplode("words").alias("no", "word"))
     got = wordtable.encode_words(words, WORDS).join(words, ["chunk", "no"]).groupBy("word").agg(F.countDistinct("ids").alias("n")).collect()
