@@ -19,7 +19,7 @@ a text without tokens has null groups; an empty table gives no rows; other colum
 from __future__ import annotations
 
 import hashlib
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,9 @@ from lodestat.session import cut
 CHUNK_BYTES = 1 << 23  # text in a chunk
 B_IDS = 1 << 16  # ids of B are below; a pair is a * B_IDS + b
 
+MEMO = 300_000  # aligned pieces a worker remembers
+_DIFFERS = (0, 0, 0, "", [], True)  # a piece whose joined bytes are not its own
+
 _NUMBERS = ("n_a", "n_b", "n_groups", "n_links")
 _CHUNKS = ("chunk long, keys array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
            "groups array<string>, sha array<string>, sizes binary, numbers binary, times binary, pairs array<long>, docs array<long>")
@@ -57,6 +60,9 @@ class Aligner:
         # A writes one character for each byte
         size = self.a.tokenizer.get_vocab_size(True)
         self.a_size = [len(self.a.tokenizer.id_to_token(i) or "") for i in range(size)]
+        self.b_size = [len(x) for x in self.b_bytes]
+        self.a_text, self.b_text = [str(i) for i in range(size)], [str(i) for i in range(len(names))]
+        self.memo: dict[str, tuple] = {}
         self.lead = self.b.piece_to_id("▁")
         self.at_blank = not any("▁" in p.lstrip("▁") for p in names)
         self.at_feed = self.at_blank and not any("\n" in p for p in names)
@@ -77,28 +83,53 @@ class Aligner:
     def same_bytes(self, text: str, b: list[int]) -> bool:
         return b"".join([self.b_bytes[i] for i in b]) == text.encode()
 
-    def align(self, a: list[int], b: list[int]) -> tuple[list[tuple[list[int], list[int]]], list[tuple[int, int]]]:
-        """Groups (ids of A, ids of B) and links (id of A, id of B) of one piece."""
-        a_ends, b_ends = list(accumulate([self.a_size[i] for i in a])), list(accumulate([len(self.b_bytes[i]) for i in b]))
-        a_index, b_index = {e: i + 1 for i, e in enumerate(a_ends)}, {e: i + 1 for i, e in enumerate(b_ends)}
-        groups, links, i, j = [], [], 0, 0
+    def align(self, a: list[int], b: list[int]) -> tuple[int, str, list[int]]:
+        """Number of groups, groups as text, and links (a * B_IDS + b) of one piece."""
+        a_ends = list(accumulate(map(self.a_size.__getitem__, a)))
+        b_ends = list(accumulate(map(self.b_size.__getitem__, b)))
+        a_index, b_index = dict(zip(a_ends, range(1, len(a) + 1))), dict(zip(b_ends, range(1, len(b) + 1)))
+        told, links, i, j, a_text, b_text = [], [], 0, 0, self.a_text, self.b_text
         for end in sorted(a_index.keys() & b_index.keys()):
             to_i, to_j = a_index[end], b_index[end]
-            groups.append((a[i:to_i], b[j:to_j]))
-            if to_i - i == 1 or to_j - j == 1:
-                links += [(x, y) for x in a[i:to_i] for y in b[j:to_j]]
+            if to_i - i == 1:
+                p = a[i]
+                if to_j - j == 1:
+                    told.append(f"{a_text[p]}|{b_text[b[j]]}")
+                    links.append(p * B_IDS + b[j])
+                else:
+                    told.append(f"{a_text[p]}|{','.join([b_text[q] for q in b[j:to_j]])}")
+                    links += [p * B_IDS + q for q in b[j:to_j]]
             else:
-                k = j
-                for x in range(i, to_i):
-                    start, stop = (a_ends[x - 1] if x else 0), a_ends[x]
-                    while b_ends[k] <= start:
-                        k += 1
-                    y = k
-                    while y < to_j and (b_ends[y - 1] if y else 0) < stop:
-                        links.append((a[x], b[y]))
-                        y += 1
+                told.append(f"{','.join([a_text[p] for p in a[i:to_i]])}|{','.join([b_text[q] for q in b[j:to_j]])}")
+                if to_j - j == 1:
+                    links += [p * B_IDS + b[j] for p in a[i:to_i]]
+                else:
+                    k = j
+                    for x in range(i, to_i):
+                        start, stop = (a_ends[x - 1] if x else 0), a_ends[x]
+                        while b_ends[k] <= start:
+                            k += 1
+                        y = k
+                        while y < to_j and (b_ends[y - 1] if y else 0) < stop:
+                            links.append(a[x] * B_IDS + b[y])
+                            y += 1
             i, j = to_i, to_j
-        return groups, links
+        return len(told), ";".join(told), links
+
+    def pieces(self, names: list[str]) -> list[tuple]:
+        """``(n_a, n_b, n_groups, groups, links, differs)`` of each piece; a bounded number is remembered."""
+        if len(self.memo) > MEMO:
+            self.memo.clear()
+        memo = self.memo
+        out = list(map(memo.get, names))
+        new = [i for i, x in enumerate(out) if x is None]
+        if new:
+            for i, a, b in zip(new, *self.ids([names[i] for i in new])):
+                good = self.same_bytes(names[i], b)
+                out[i] = (len(a), len(b), *self.align(a, b), False) if good else _DIFFERS
+                if len(names[i]) <= 32:
+                    memo[names[i]] = out[i]
+        return out
 
 
 _ALIGNERS: dict[tuple, Aligner] = {}
@@ -127,22 +158,18 @@ def chunks(docs: DataFrame, a: str, b: str, with_groups: bool, most: int = CHUNK
         at = np.flatnonzero(place)
         names, code = pieces(raw, at) if len(raw) else ([], np.zeros(0, "int64"))
         names = [n.decode() for n in names]
-        counts, told, pairs, sizes = np.zeros((len(names), 5), "int64"), [], [], np.zeros(len(names), "int64")
-        for i, (name, x, y) in enumerate(zip(names, *(aligner.ids(names) if names else ([], [])))):
-            good = aligner.same_bytes(name, y)
-            groups, links = aligner.align(x, y) if good else ([], [])
-            counts[i], sizes[i] = (len(x), len(y), len(groups), len(links), not good), len(links)
-            told.append(";".join([",".join(map(str, g)) + "|" + ",".join(map(str, h)) for g, h in groups]))
-            pairs += [p * B_IDS + q for p, q in links]
+        n_a, n_b, n_groups, told, links, differs = zip(*aligner.pieces(names)) if names else ((),) * 6
+        sizes = np.fromiter(map(len, links), "int64", len(names))
+        pairs = np.fromiter(chain.from_iterable(links), "int64", int(sizes.sum()))
+        counts = [np.array(x, "int64") for x in (n_a, n_b, n_groups, sizes, differs)]
         # pieces of each text
         edges = np.searchsorted(at, np.concatenate([[0], ends]))
-        good = _sums(counts[code, 4], edges) == 0
-        numbers = [np.where(good, _sums(counts[code, k], edges), 0) for k in range(4)]
+        good = _sums(counts[4][code], edges) == 0
+        numbers = [np.where(good, _sums(x[code], edges), 0) for x in counts[:4]]
         word, edge = code.tolist(), edges.tolist()
         groups = [";".join(map(told.__getitem__, word[s:e])) if ok and e > s else None for ok, s, e in zip(good.tolist(), edge, edge[1:])]
         sha = ["" if g is None else hashlib.sha256(g.encode()).hexdigest() for g in groups]
         # distinct pairs of the chunk, by number; then of each text
-        pairs = np.array(pairs, "int64")
         distinct = np.sort(pairs)
         distinct = distinct[np.flatnonzero(np.diff(distinct, prepend=-1))]
         pair_no = np.searchsorted(distinct, pairs)
