@@ -52,7 +52,7 @@ def encode(docs: DataFrame, path: str, tokenizer: str, end_id: int, drops_space:
             df += np.bincount(terms, minlength=1 << 16)
             cells = {"ids": (ids, before), "terms": (terms, first), "times": (times, first)}
             yield _rows(schema, b.num_rows, {"kind": ["doc"] * b.num_rows, "doc_id": b.column(0).cast(pa.int64()),
-                                             **{c: [v[i:j].tobytes() for i, j in zip(at.tolist(), at[1:].tolist())] for c, (v, at) in cells.items()}})
+                                             **{c: _binary(v, at) for c, (v, at) in cells.items()}})
         used = np.flatnonzero(df)
         yield _rows(schema, len(used), {"kind": ["term"] * len(used), "term": used, "df": df[used]})
 
@@ -64,11 +64,20 @@ def encode(docs: DataFrame, path: str, tokenizer: str, end_id: int, drops_space:
 
 def count_terms(ids: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where each text's terms begin, its distinct ids in order, and how often it holds each; one sort for all texts."""
-    text = np.repeat(np.arange(len(before) - 1), np.diff(before))
-    pairs = np.sort(text << 16 | ids)
-    at = np.flatnonzero(np.diff(pairs, prepend=-1))
+    n = len(before) - 1
+    kind = "uint32" if n <= 1 << 16 else "uint64"  # the shorter one sorts twice as fast
+    pairs = np.repeat(np.arange(n, dtype=kind) << np.array(16, kind), np.diff(before)) | ids.astype(kind)
+    pairs.sort()
+    at = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]])) if len(pairs) else np.zeros(0, "int64")
     pairs, times = pairs[at], np.diff(at, append=len(ids))
-    return np.searchsorted(pairs, np.arange(len(before)) << 16), (pairs & 0xFFFF).astype(_TYPE), times.astype(_TIMES)
+    first = np.searchsorted(pairs >> np.array(16, kind), np.arange(n + 1))
+    return first, (pairs & np.array(0xFFFF, kind)).astype(_TYPE), times.astype(_TIMES)
+
+
+def _binary(values: np.ndarray, before: np.ndarray) -> pa.Array:
+    """Binary column of the runs ``before[i] .. before[i + 1]`` of ``values``."""
+    raw = pa.py_buffer(np.ascontiguousarray(values))
+    return pa.BinaryArray.from_buffers(pa.binary(), len(before) - 1, [None, pa.py_buffer((before * values.itemsize).astype("<i4")), raw])
 
 
 def _rows(schema: pa.Schema, n: int, columns: dict) -> pa.RecordBatch:
