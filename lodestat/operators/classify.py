@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestat.functions.special import chi2_tail
+from lodestat.operators.density import kernel_density
 from lodestat.operators.linear import _matrix, _products
 
 
@@ -140,27 +141,27 @@ def naive_bayes(df: DataFrame, tables: list, features: list[str], label: str) ->
 
 # --- naive Bayes over mixed columns -----------------------------------------------------------------
 
-# The kernel density is tabulated on this many cells over the training range.
-KDE_CELLS = 512
+DENSITY_FLOOR = 1e-300  # for the logarithm of a density of 0
 
 
 def mixed_naive_bayes(train: DataFrame, test: DataFrame, label: str, categorical: dict[str, list], binary: list[str],
-                      kernel: str, normal: list[str], alpha: float = 1.0) -> DataFrame:
+                      kernel: str, normal: list[str], alpha: float = 1.0, width: float = 1.0) -> DataFrame:
     """Posterior from smoothed categorical shares, Bernoulli shares, one kernel density and one
-    multivariate normal.  Training keeps bounded tables only: levels, two moments, cells."""
+    multivariate normal.
+
+    Training keeps bounded tables only: levels, two moments, and the density's cells.  The
+    bandwidth is ``width`` x deviation x n^(-1/5) in each class (1 where values do not vary).  A
+    null in the kernel column says nothing.
+    """
     m = class_moments(train, normal, label)
-    lo, hi, = train.agg(F.min(kernel), F.max(kernel)).first()
-    width = (hi - lo) / KDE_CELLS or 1.0
-    cell = F.least(F.greatest(F.floor((F.col(kernel) - lo) / width), F.lit(0)), F.lit(KDE_CELLS - 1)).cast("int")
     shares = train.groupBy(label).agg(
         F.count(F.lit(1)).alias("n"), F.stddev_samp(kernel).alias("sd"),
         *[F.count_if(F.col(c) == v).alias(f"c_{c}_{i}") for c, levels in categorical.items() for i, v in enumerate(levels)],
         *[F.sum(F.col(b).cast("bigint")).alias(f"b_{b}") for b in binary]).collect()
     by_label = {r[label]: r for r in shares}
-    cells = {v: np.zeros(KDE_CELLS) for v in m.labels}
-    for r in train.groupBy(label, cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect():
-        cells[r[label]][r["cell"]] = r["n"]
-    mid = lo + (np.arange(KDE_CELLS) + 0.5) * width
+    bandwidth = {v: width * (by_label[v]["sd"] or 0.0) * by_label[v]["n"] ** -0.2 or 1.0 for v in m.labels}
+    dens = kernel_density(train.select(F.col(label).alias("_k"), F.col(kernel).cast("double").alias("_x")), test.select(F.col(kernel).cast("double").alias("_x")), "_x", bandwidth, "_k")
+    logs = dens.groupBy("_x").agg(*[F.log(F.max(F.when(F.col("_k") == v, F.greatest("density", F.lit(DENSITY_FLOOR))))).alias(f"_f{k}") for k, v in enumerate(m.labels)])
     scores = []
     for k, v in enumerate(m.labels):
         r = by_label[v]
@@ -174,12 +175,9 @@ def mixed_naive_bayes(train: DataFrame, test: DataFrame, label: str, categorical
         for b in binary:
             q = (r[f"b_{b}"] + alpha) / (r["n"] + 2 * alpha)
             s = s + F.when(F.col(b).cast("boolean"), math.log(q)).otherwise(math.log(1 - q))
-        h = max((r["sd"] or 0.0) * r["n"] ** -0.2, width)
-        dens = np.exp(-0.5 * ((mid[:, None] - mid[None, :]) / h) ** 2) @ cells[v] / (r["n"] * h * math.sqrt(2 * math.pi))
-        table = F.array(*[F.lit(float(math.log(max(x, 1e-300)))) for x in dens])
-        s = s + F.get(table, cell)
-        scores.append(s)
-    return posterior(test, scores, m.labels)
+        scores.append(s + F.coalesce(F.col(f"_f{k}"), F.lit(0.0)))
+    joined = test.withColumn("_x", F.col(kernel).cast("double")).join(logs, "_x", "left")
+    return posterior(joined, scores, m.labels).drop("_x", *[f"_f{k}" for k in range(len(m.labels))])
 
 
 def class_probability(df: DataFrame, model, features: str) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import HashingTF, RegexTokenizer, VectorAssembler
 from pyspark.sql import functions as F
 
-from lodestat.operators import classify, evaluate, linear, summaries
+from lodestat.operators import classify, comparison, evaluate, linear, margins, summaries, trees
+from lodestat.operators.density import kernel_density
 from lodestat.operators.frames import row_hash
 from lodestat.plans import standins as S
 from lodestat.plans.registry import query
@@ -236,42 +237,80 @@ def l28b(t):
     return evaluate.power_transform(d, d, ["x"]).select("c_custkey", r("x").alias("x"))
 
 
-@query("l29_mixed_naive_bayes")
+LANGS = ["de", "en", "es", "fr"]
+# every place against every training value: the plain form of the density that the query sums by cells
+_L29 = f"""{S.SCORED_SQL}, x AS (SELECT sd.*, d.lang FROM sd JOIN documents d USING (doc_id)),
+ st AS (SELECT quality AS k, count(*)::DOUBLE AS n, stddev_samp(avg_len) * count(*) ** -0.2 AS h, avg(n_chars) AS m1, avg(n_tokens) AS m2, var_samp(n_chars) AS a, var_samp(n_tokens) AS d,
+  covar_samp(n_chars, n_tokens) AS b, (sum(toxic) + 1) / (count(*) + 2) AS q FROM x GROUP BY 1),
+ cs AS (SELECT quality AS k, lang, count(*) AS c FROM x GROUP BY ALL),
+ av AS (SELECT DISTINCT avg_len AS v FROM x), tv AS (SELECT quality AS k, avg_len AS v, count(*) AS c FROM x GROUP BY ALL),
+ kd AS (SELECT av.v, st.k, sum(tv.c * exp(-0.5 * ((av.v - tv.v) / h) ** 2)) / (any_value(n) * any_value(h) * sqrt(2 * pi())) AS f FROM av, tv JOIN st ON st.k = tv.k GROUP BY ALL),
+ s AS (SELECT x.doc_id, x.quality, st.k, ln(n / (SELECT count(*) FROM x)) - 0.5 * ln(a * d - b * b) - 0.5 * (d * (n_chars - m1) ** 2 - 2 * b * (n_chars - m1) * (n_tokens - m2) + a * (n_tokens - m2) ** 2) / (a * d - b * b)
+   + ln((coalesce(cs.c, 0) + 1) / (n + 4)) + CASE WHEN toxic = 1 THEN ln(q) ELSE ln(1 - q) END + ln(greatest(f, 1e-300)) AS s
+  FROM x CROSS JOIN st LEFT JOIN cs ON cs.k = st.k AND cs.lang = x.lang JOIN kd ON kd.v = avg_len AND kd.k = st.k)"""
+
+
+def mixed(t):
+    return scored(t).join(t.documents.select("doc_id", "lang"), "doc_id")
+
+
+@query("l29_mixed_naive_bayes", f"WITH {_L29} SELECT doc_id, any_value(quality) AS quality, round(1 / (1 + exp(max(s) FILTER (k = 0) - max(s) FILTER (k = 1))), 6) AS post_1 FROM s GROUP BY 1")
 def l29(t):
-    d = scored(t).join(t.documents.select("doc_id", "lang"), "doc_id")
-    out = classify.mixed_naive_bayes(d, d, "quality", {"lang": ["de", "en", "es", "fr"]}, ["toxic"], "avg_len", ["n_chars", "n_tokens"])
-    return out.select("doc_id", "quality", "post_1")
+    d = mixed(t)
+    out = classify.mixed_naive_bayes(d, d, "quality", {"lang": LANGS}, ["toxic"], "avg_len", ["n_chars", "n_tokens"])
+    return out.select("doc_id", "quality", r("post_1").alias("post_1"))
+
+
+@query("l29b_kernel_density", f"WITH {_L29} SELECT k AS quality, round(v, 9) AS avg_len, round(f, 9) AS density FROM kd")
+def l29b(t):
+    d = scored(t).select("quality", "avg_len")
+    h = {r_["quality"]: r_["sd"] * r_["n"] ** -0.2 for r_ in d.groupBy("quality").agg(F.stddev_samp("avg_len").alias("sd"), F.count(F.lit(1)).alias("n")).collect()}
+    out = kernel_density(d, d.select("avg_len"), "avg_len", h, "quality")
+    return out.select("quality", r("avg_len", 9).alias("avg_len"), r("density", 9).alias("density"))
+
+
+COLUMNS = comparison.Columns(TWO, "doc_id", "quality", {"lang": LANGS}, ["toxic"], "avg_len", ["n_chars", "n_tokens"])
 
 
 @query("l30_repeated_comparison")
 def l30(t):
-    return compare_statistics(t.spark, scored(t), TWO, rounds=2)
-
-
-def compare_statistics(spark, df, features, rounds=100, folds=10, grid=(0.01, 1.0), key="doc_id", label="quality"):
-    """Mean and deviation of the test AUC of four models over seeded splits; the ridge model's
-    strength is tuned by cross-validation on each training part."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-
-    data = cut(df)
-    rows = []
-    for seed in range(rounds):
-        d = evaluate.exact_split(data, key, {"train": 0.8, "test": 0.2}, seed=1000 * seed).persist()
-        train, test = d.filter("part = 'train'"), d.filter("part = 'test'")
-        train, test = evaluate.standardise(train, train, features), evaluate.standardise(train, test, features)
-        assembled = VectorAssembler(inputCols=features, outputCol="features")
-        lr = LogisticRegression(labelCol=label, standardization=False)
-        cv = CrossValidator(estimator=lr, estimatorParamMaps=ParamGridBuilder().addGrid(lr.regParam, list(grid)).build(),
-                            evaluator=BinaryClassificationEvaluator(labelCol=label, numBins=0), numFolds=folds, parallelism=4, seed=seed)
-        tuned = cv.fit(assembled.transform(train)).bestModel
-        ridge = classify.class_probability(assembled.transform(test), tuned, "features").withColumn("post_1", F.col("score"))
-        for name, s in [("ridge_logistic", ridge), *[m for m in four_models(train, test, features, label) if m[0] != "logistic"]]:
-            rows.append((name, seed, evaluate.auc(s, F.col(label) == 1, "post_1").first()[0]))
-        d.unpersist()
-    return spark.createDataFrame(rows, "model string, round int, auc double").groupBy("model").agg(
-        F.count(F.lit(1)).alias("rounds"), F.avg("auc").alias("mean_auc"), F.stddev_samp("auc").alias("sd_auc"))
+    return comparison.summary(comparison.compare_models(mixed(t), COLUMNS, rounds=3, folds=10))
+
+
+# the best cut of all rows, then of both sides, over the quantiles of each feature
+_CUTS = f"""{S.SCORED_SQL}, v AS (SELECT doc_id, quality, 0 AS f, n_chars AS x FROM sd UNION ALL SELECT doc_id, quality, 1, avg_len FROM sd),
+ fe AS (SELECT f, count(DISTINCT x) AS d, count(*) AS n FROM v GROUP BY 1),
+ o AS (SELECT f, x, row_number() OVER (PARTITION BY f ORDER BY x) AS i FROM v),
+ e0 AS (SELECT DISTINCT o.f, x FROM o JOIN fe USING (f) JOIN range(1, 33) t(q) ON d > 32 AND i = ceil(n * q / 32.0) UNION SELECT DISTINCT v.f, x FROM v JOIN fe USING (f) WHERE d <= 32),
+ e AS (SELECT f, x FROM e0 QUALIFY row_number() OVER (PARTITION BY f ORDER BY x DESC) > 1)"""
+
+
+def _cut_sql(node, rows):
+    return f"""(SELECT {node} AS node, f, edge FROM (SELECT e.f, e.x AS edge, count(*) AS t, sum(quality) AS t1, count(*) FILTER (v.x <= e.x) AS l, coalesce(sum(quality) FILTER (v.x <= e.x), 0) AS l1
+     FROM e JOIN v ON v.f = e.f {rows} GROUP BY 1, 2) WHERE l >= 5 AND t - l >= 5 AND 2.0 * t1 * (t - t1) / t - 2.0 * l1 * (l - l1) / l - 2.0 * (t1 - l1) * (t - l - t1 + l1) / (t - l) > 1e-12
+     ORDER BY round(2.0 * t1 * (t - t1) / t - 2.0 * l1 * (l - l1) / l - 2.0 * (t1 - l1) * (t - l - t1 + l1) / (t - l), 9) DESC, f, edge LIMIT 1)"""
+
+
+@query("l30b_tree_cuts", f"""WITH {_CUTS}, n0 AS {_cut_sql(0, '')}, side AS (SELECT v.doc_id, CASE WHEN v.x > n0.edge THEN 2 ELSE 1 END AS node FROM v JOIN n0 USING (f)),
+ n1 AS {_cut_sql(1, 'JOIN side ON side.doc_id = v.doc_id AND side.node = 1')}, n2 AS {_cut_sql(2, 'JOIN side ON side.doc_id = v.doc_id AND side.node = 2')}
+ SELECT CAST(node AS INTEGER) AS node, CASE f WHEN 0 THEN 'n_chars' ELSE 'avg_len' END AS feature, round(edge, 9) AS edge FROM (SELECT * FROM n0 UNION ALL SELECT * FROM n1 UNION ALL SELECT * FROM n2)""")
+def l30b(t):
+    grown = trees.grow(scored(t), TWO, "quality", depth=2, least=5, bins=32)
+    return trees.frame(t.spark, grown, TWO).filter("feature is not null").select("node", "feature", r("edge", 9).alias("edge"))
+
+
+@query("l30c_support_vectors")
+def l30c(t):
+    """Margins of every labelled document under a linear and a landmark-kernel machine, with their proven gaps."""
+    d = cut(evaluate.standardise(scored(t), scored(t), TWO).withColumn("x", F.array(*TWO)))
+    marks = margins.landmarks(d, "x", "doc_id", 32)
+    d = cut(d.withColumn("z", margins.kernel_map(F.col("x"), marks, 1.0)))
+    out = None
+    for name, x in (("linear", "x"), ("kernel", "z")):
+        fit = margins.fit(d, x, "quality", {"": 0.01})
+        one = margins.margins(d, x, fit).select("doc_id", "quality", F.lit(name).alias("machine"), "score", F.lit(fit[""]["gap"]).alias("gap"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query("l31_clean_and_binarise", """SELECT d.doc_id, n_chars, CASE WHEN quality + 2 * toxic > 0 THEN 1 ELSE 0 END AS target FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE quality IS NOT NULL AND toxic IS NOT NULL""")

@@ -80,6 +80,11 @@ def per_group(df: DataFrame, rows: int = 20_000) -> DataFrame:
     return F.broadcast(kept) if kept.limit(rows + 1).count() <= rows else kept
 
 
+def held(spark: SparkSession, rows: list, schema: str) -> DataFrame:
+    """A table of rows that the driver holds, and so no larger than these, to be broadcast."""
+    return F.broadcast(spark.createDataFrame(rows, schema))
+
+
 def release(*tables: DataFrame | None) -> None:
     """Delete the tables that ``cut`` wrote for these frames; nothing may read them any more.
 
