@@ -35,7 +35,7 @@ from lodestat.llm.packed import by_weight, squeeze, unsqueeze
 from lodestat.llm.tokens import batch_encoder, spread
 from lodestat.session import cut, scratch_path
 
-CHUNK_WORDS = 1 << 22
+CHUNK_WORDS = 1 << 23
 # white space, or the place between a letter (ASCII or Latin-1) and a mark
 GAPS = r"[ \t\r\n]+|(?<=[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF])(?=[.,;:!?])"
 
