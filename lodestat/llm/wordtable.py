@@ -36,6 +36,7 @@ from lodestat.llm.tokens import batch_encoder, spread
 from lodestat.session import cut, scratch_path
 
 CHUNK_WORDS = 1 << 23
+SLICE_WORDS = 1 << 20  # words whose ids and texts are put together at a time
 # white space, or the place between a letter (ASCII or Latin-1) and a mark
 GAPS = r"[ \t\r\n]+|(?<=[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF])(?=[.,;:!?])"
 
@@ -157,21 +158,23 @@ def round_trip(docs: DataFrame, tokenizer: str, literal: bool = False, id_col: s
             cells = pa.array([], pa.list_(pa.int32()))
         named = rows.filter(pc.invert(is_word)).select(["no", "piece"]).sort_by("no").combine_chunks()
         size, flat = pc.list_value_length(cells).to_numpy(zero_copy_only=False).astype("int64"), cells.flatten().to_numpy(zero_copy_only=False)
-        edges = np.concatenate([[0], np.cumsum(sizes)])
-        # ids of the texts, word after word
-        own = size[code]
-        before = np.concatenate([[0], np.cumsum(own)])[edges]
-        ids = flat[spread((np.cumsum(size) - size)[code], own)].astype("<u4")
-        ids_of = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(keys), [None, pa.py_buffer(before * 4), pa.py_buffer(np.ascontiguousarray(ids))])
-        # pieces of each word, then words of each text, with blanks between
+        edges, start = np.concatenate([[0], np.cumsum(sizes)]), np.cumsum(size) - size
+        # text of each word: its pieces with blanks between
         known, piece = named.column("no").to_numpy(), named.column("piece").combine_chunks()
         held = np.isin(flat, known)
-        size = np.diff(np.concatenate([[0], np.cumsum(held)])[np.concatenate([[0], np.cumsum(size)])])
-        text = pc.binary_join(_lists(piece.take(pa.array(np.searchsorted(known, flat[held]))), size), " ")
-        some = size[code] > 0
-        said = text.cast(pa.large_string()).take(pa.array(code[some]))
-        decoded = pc.binary_join(_lists(said, np.diff(np.concatenate([[0], np.cumsum(some)])[edges])), pa.scalar(" ", pa.large_string()))
-        return pa.table({"doc_id": pa.array(keys, pa.int64()), "ids": ids_of.cast(pa.binary()), "decoded": decoded.cast(pa.string())})
+        shown = np.diff(np.concatenate([[0], np.cumsum(held)])[np.concatenate([[0], np.cumsum(size)])])
+        text = pc.binary_join(_lists(piece.take(pa.array(np.searchsorted(known, flat[held]))), shown), " ").cast(pa.large_string())
+        out = []
+        for i, j in by_weight(sizes, SLICE_WORDS):
+            own, at = code[edges[i]:edges[j]], edges[i:j + 1] - edges[i]
+            before = np.concatenate([[0], np.cumsum(size[own])])[at]
+            ids = np.ascontiguousarray(flat[spread(start[own], size[own])].astype("<u4"))
+            ids_of = pa.LargeBinaryArray.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer(before * 4), pa.py_buffer(ids)])
+            some = shown[own] > 0
+            said = _lists(text.take(pa.array(own[some])), np.diff(np.concatenate([[0], np.cumsum(some)])[at]))
+            decoded = pc.binary_join(said, pa.scalar(" ", pa.large_string()))
+            out.append(pa.table({"doc_id": pa.array(keys[i:j], pa.int64()), "ids": ids_of.cast(pa.binary()), "decoded": decoded.cast(pa.string())}))
+        return pa.concat_tables(out) if out else _EMPTY
 
     return packed.drop("words").groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(put, _OUT)
 
