@@ -6,8 +6,8 @@ kernel of two texts is the number of bins they share over the geometric mean of
 numbers.  ``LANDMARKS`` training texts span the solution, so a model is one matrix and a
 batch of texts is scored by two matrix products.
 
-The fit reads a bounded sample (``TRAIN`` rows, spread evenly over languages, chosen by hash
-of the id); counts per language and predictions cover every row and whole texts.
+The fit reads a bounded sample (``TRAIN`` rows, spread evenly over all languages, chosen by hash
+of the id, or ``LEAST`` rows of each where that is more); counts per language and predictions cover every row and whole texts.
 
 Defined cases: null text or text without a letter is ``und`` with score 0; rows with a null
 language or null id are not learned from but are predicted; with nothing to learn every row
@@ -21,7 +21,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +31,7 @@ BINS = 1 << 14
 ORDERS = (1, 2, 3)
 TRAIN = 4096  # sampled rows the model is fitted on
 LANDMARKS = 512
-LANGUAGES = 256  # most frequent labels that are learned
+LEAST = 8  # sampled rows of a language at least, if it has them; with many languages the sample grows
 RIDGE = 1e-4
 UNKNOWN = "und"
 _BLOCK = 1 << 20  # characters hashed at a time
@@ -90,10 +90,10 @@ def sample(docs: DataFrame) -> list:
     Rates per language come from counts over all rows.
     """
     rows = docs.filter(F.col("lang").isNotNull() & learnable(F.col("doc_id")))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().collect()  # a row per language
     if not counts:
         return []
-    each = max(1, TRAIN // len(counts))
+    each = max(LEAST, TRAIN // len(counts))
     rates = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], min(1.0, 1.5 * each / r["count"]))])
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     picked = rows.withColumn("draw", draw).filter(F.col("draw") < rates[F.col("lang")])
@@ -109,8 +109,10 @@ def sample(docs: DataFrame) -> list:
                                                  names=["lang", "bits", "draw"])
 
     packed = picked.select("lang", "text", "draw").mapInArrow(pack, "lang string, bits binary, draw double")
-    # rates aim at 1.5 x TRAIN rows and the limit holds whatever the hash does
-    got = packed.orderBy(F.col("draw") / rates[F.col("lang")], "lang", "bits").limit(TRAIN).collect()
+    # rates aim at 1.5 x each language's share, of which the first rows by hash are taken
+    share = Window.partitionBy("lang").orderBy("draw", "bits")
+    chosen = packed.withColumn("place", F.row_number().over(share)).filter(F.col("place") <= each)
+    got = chosen.orderBy(F.col("draw") / rates[F.col("lang")], "lang", "bits").collect()  # at most each x languages
     return [(r["lang"], bytes(r["bits"])) for r in got]
 
 

@@ -11,7 +11,8 @@ The pairs form a tree: groups of about ``FAN`` documents fold to one residual ea
 grows with its source.
 
 Defined cases: null text has no words; documents without words are never taken; rows equal
-in id, source and size are rounded as one; a null source is a source of its own, ordered
+in id, source and size are rounded one by one, and as many of them as the rounding says are
+taken, whichever; a null source is a source of its own, ordered
 last; without any words all targets are 0; an empty table gives no rows.
 """
 
@@ -97,24 +98,24 @@ def _fold(items: Column) -> Column:
         return _let(_settle(state["rest"], item), lambda r: F.struct(
             F.concat(state["done"], F.array(F.struct(r["key"].alias("key"), r["taken"].alias("taken")))).alias("done"), r["rest"].alias("rest")))
 
-    kind = "array<struct<key:struct<doc_id:bigint,size:bigint>,taken:boolean>>"
+    kind = "array<struct<key:struct<doc_id:bigint,size:bigint,copy:bigint>,taken:boolean>>"
     start = F.struct(F.array().cast(kind).alias("done"), F.element_at(items, 1).alias("rest"))
     return F.aggregate(F.slice(items, 2, F.greatest(F.size(items) - 1, F.lit(0))), start, step)
 
 
 def rounded(parts: DataFrame, seed: int = 0, fan: int = FAN) -> DataFrame:
-    """Round the fraction ``part`` of each item (``no_source, source, doc_id, size, part``) to 0 or 1.
+    """Round the fraction ``part`` of each item (``no_source, source, doc_id, size, copy, part``) to 0 or 1.
 
     Result: the same keys and ``extra`` (0 or 1).
     """
     counts = parts.groupBy(*_SOURCE).agg(F.count(F.lit(1)).alias("n"))
     most = counts.agg(F.max("n")).first()[0] or 0
-    draw = F.pmod(F.xxhash64("doc_id", "size", F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    draw = F.pmod(F.xxhash64("doc_id", "size", "copy", F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
     # longest first: the short ones then level out what the long ones left open
-    item = F.struct(F.col("size").cast("double").alias("size"), F.struct("doc_id", "size").alias("key"), "part", draw.alias("draw"))
+    item = F.struct(F.col("size").cast("double").alias("size"), F.struct("doc_id", "size", "copy").alias("key"), "part", draw.alias("draw"))
     groups = F.ceil(F.col("n") / F.lit(fan))
     level = (parts.join(small(counts), _SOURCE)
-             .select(*_SOURCE, F.pmod(F.xxhash64("doc_id", "size", F.lit(seed + 1)), groups).alias("group"), item.alias("item")))
+             .select(*_SOURCE, F.pmod(F.xxhash64("doc_id", "size", "copy", F.lit(seed + 1)), groups).alias("group"), item.alias("item")))
     settled, width = None, -(-most // fan)
     while True:
         folded = cut(level.groupBy(*_SOURCE, "group").agg(F.sort_array(F.collect_list("item"), asc=False).alias("items"))
@@ -132,29 +133,54 @@ def rounded(parts: DataFrame, seed: int = 0, fan: int = FAN) -> DataFrame:
     return settled.unionByName(last)
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = 0, id_col: str = "doc_id",
-        text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Per row: ``doc_id, no_source, source, size, source_size, target, copies``."""
+_KEY = [*_SOURCE, "doc_id", "size"]
+
+
+def plan(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = 0, id_col: str = "doc_id", text_col: str = "text",
+         source_col: str = "source") -> tuple[DataFrame, DataFrame]:
+    """Rows as ``sizes`` has them, and one row per key of these: ``source_size, target, sure`` (copies for certain),
+    ``m`` (rows of the key) and ``extra`` (how many of them are taken once more)."""
     sized = sizes(docs, id_col, text_col, source_col)
     goal = small(targets(sized, weights, most))
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    rows = sized.join(goal, _SOURCE).withColumn("sure", F.floor(copies + _TINY)).withColumn("part", F.greatest(copies - F.col("sure"), F.lit(0.0)))
-    items = (rows.filter((F.col("size") > 0) & (F.col("part") > _TINY))
-             .groupBy(*_SOURCE, "doc_id", "size").agg(F.count(F.lit(1)).alias("m"), F.first("part").alias("part")))
-    # equal rows weigh together but keep the key of one
-    extra = cut(rounded(items.select(*_SOURCE, "doc_id", "size", "part"), seed))
-    on = [F.col(f"r.{c}").eqNullSafe(F.col(f"e.{c}")) for c in (*_SOURCE, "doc_id", "size")]
-    out = rows.alias("r").join(extra.alias("e"), on, "left")
-    return out.select("r.doc_id", "r.no_source", "r.source", "r.size", "r.source_size", "r.target",
-                      F.when(F.col("r.size") > 0, F.col("r.sure") + F.coalesce("e.extra", F.lit(0))).otherwise(0).cast("long").alias("copies"))
+    keys = cut(sized.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("m")).join(goal, _SOURCE).withColumn("sure", F.floor(copies + _TINY))
+               .withColumn("part", F.greatest(copies - F.col("sure"), F.lit(0.0))))
+    open_ = keys.filter((F.col("size") > 0) & (F.col("part") > _TINY))
+    # equal rows are items of their own, told apart by their copy number
+    items = open_.select(*_KEY, "part", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m"))).alias("copy"))
+    extra = rounded(items, seed).groupBy(*_KEY).agg(F.sum("extra").alias("extra"))
+    on = [F.col(f"k.{c}").eqNullSafe(F.col(f"e.{c}")) for c in _KEY]
+    told = keys.alias("k").join(extra.alias("e"), on, "left").select("k.*", F.coalesce("e.extra", F.lit(0)).alias("extra"))
+    return sized, cut(told.drop("part"))
+
+
+def _copies(rows: DataFrame) -> DataFrame:
+    """Adds ``copies`` to rows that carry their key's ``sure, m, extra``.
+
+    Only rows of a key that is taken in part are numbered, and a hot key is spread for it.
+    """
+    count = lambda more: F.when(F.col("size") > 0, F.col("sure") + more.cast("long")).otherwise(0).cast("long")
+    partly = (F.col("extra") > 0) & (F.col("extra") < F.col("m"))
+    plain = rows.filter(~partly).withColumn("copies", count(F.col("extra") > 0))
+    numbered = running_total(rows.filter(partly).withColumn("_one", F.lit(1).cast("long")).withColumn("_id", F.monotonically_increasing_id()), "_one", ["_id"], _KEY, "_no")
+    return plain.unionByName(numbered.withColumn("copies", count(F.col("_no") <= F.col("extra"))).drop("_one", "_id", "_no"))
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: int = 0, id_col: str = "doc_id",
+        text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """Per row: ``doc_id, no_source, source, size, source_size, target, copies``."""
+    sized, told = plan(docs, weights, most, seed, id_col, text_col, source_col)
+    on = [F.col(f"r.{c}").eqNullSafe(F.col(f"t.{c}")) for c in _KEY]
+    rows = sized.alias("r").join(told.alias("t"), on).select("r.*", "t.source_size", "t.target", "t.sure", "t.m", "t.extra")
+    return _copies(rows).select("doc_id", "no_source", "source", "size", "source_size", "target", "copies")
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken, with all its columns."""
-    plan = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options).filter("copies > 0")
-    plan = plan.groupBy("doc_id", "no_source", "source", "size").agg(F.max("copies").alias("copies"))
+    _, told = plan(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
     packed = docs.select(F.struct("*").alias("row"))
-    have = (F.col(f"row.`{id_col}`"), F.col(f"row.`{source_col}`").isNull(), whole(F.col(f"row.`{source_col}`")),
+    have = (F.col(f"row.`{source_col}`").isNull(), whole(F.col(f"row.`{source_col}`")), F.col(f"row.`{id_col}`"),
             F.regexp_count(whole(F.col(f"row.`{text_col}`")), F.lit(WORD)).cast("long"))
-    on = [h.eqNullSafe(F.col(c)) for h, c in zip(have, ("doc_id", "no_source", "source", "size"))]
-    return packed.join(plan, on).select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+    on = [h.eqNullSafe(F.col(c)) for h, c in zip(have, _KEY)]
+    taken = _copies(packed.join(told.filter((F.col("size") > 0) & (F.col("sure") + F.col("extra") > 0)), on)).filter("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")

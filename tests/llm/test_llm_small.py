@@ -352,6 +352,17 @@ def test_votes_set_reliabilities():
     assert len(weights) == len(pii.KINDS) + pii.LABELERS + 2
 
 
+# --- many languages --------------------------------------------------------------------------
+
+
+def test_every_label_is_learned(spark):
+    ship(spark)
+    rows = [(i, f"{chr(0x4E00 + i % 300)}{chr(0x5E00 + i % 300)} x", f"l{i % 300:03d}") for i in range(3000)]
+    rows += [(3000 + i, "rare words", "once") for i in range(4)]
+    learned = langid.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3))
+    assert len({lang for lang, _ in learned}) == 301
+
+
 # --- mixing ----------------------------------------------------------------------------------
 
 
@@ -393,8 +404,27 @@ def test_mix_meets_targets(spark, docs, none):
     assert mixing.mix(none).count() == 0 and mixing.mix(docs).count() == docs.count()
 
 
+def test_repeated_rows_share_out_their_target(spark):
+    """60 equal rows of a source are taken as often as its target says, not all alike; texts behind a key may differ."""
+    rows = [(7, "w " * 10, "a")] * 60 + [(7, "v " * 10, "a")] * 3 + [(i, "w " * int(5 + i % 9), "b") for i in range(100, 150)] + [(9, "w w", None)] * 5
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = mixing.mix(frame).collect()
+    size, taken = collections.Counter(), collections.Counter()
+    for _, text, source in rows:
+        size[source] += len(text.split())
+    want = _targets(size)
+    for r in got:
+        taken[None if r["no_source"] else r["source"]] += r["copies"] * r["size"]
+    assert len(got) == len(rows) and all(abs(taken[n] - want[n]) <= 10 for n in size)
+    out = collections.Counter(r["source"] for r in mixing.mixed(frame).collect())
+    per_row = collections.Counter()
+    for r in got:
+        per_row[None if r["no_source"] else r["source"]] += r["copies"]
+    assert out == per_row
+
+
 def test_rounding_keeps_expectations(spark):
-    items = spark.range(200).select(F.lit(False).alias("no_source"), F.lit("s").alias("source"), F.col("id").alias("doc_id"), F.lit(7).cast("long").alias("size"), F.lit(0.3).alias("part"))
+    items = spark.range(200).select(F.lit(False).alias("no_source"), F.lit("s").alias("source"), F.col("id").alias("doc_id"), F.lit(7).cast("long").alias("size"), F.lit(1).cast("long").alias("copy"), F.lit(0.3).alias("part"))
     counts = np.zeros(200)
     for seed in range(6):
         got = mixing.rounded(items, seed).collect()
