@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestat.operators import simplex
+from lodestat.operators.fieldsums import kernel_sums
 from lodestat.operators.frames import MASK_P, row_hash
-from lodestat.operators.spreading import Spreading, gap_history, kernel_edges, locations
+from lodestat.operators.spreading import FieldSpreading, Spreading, gap_history, kernel_edges, locations
 from lodestat.plans.registry import query
 from lodestat.plans.tabular import r, row_hash_sql
 
@@ -41,6 +42,11 @@ def problem(t) -> Spreading:
     return Spreading(spread_points(t), COORDS, SIGMA, SIGMA_BAR, ALPHA, EPS)
 
 
+def field_problem(t) -> FieldSpreading:
+    """The same without a table of pairs."""
+    return FieldSpreading(spread_points(t), COORDS, SIGMA, SIGMA_BAR, ALPHA)
+
+
 def start(s: Spreading):
     return s.nodes.select("loc", (F.pmod("loc", F.lit(7)) - 3).cast("double").alias("y")).withColumn("y", F.col("y") / 10)
 
@@ -54,20 +60,30 @@ def j09(t):
     return lu.unionByName(uu)
 
 
+_SUMS = _PTS + """, ks AS (SELECT a.loc, sum(b.n_unl * exp(-((a.x - b.x) ** 2 + (a.y - b.y) ** 2) / (2 * {s} * {s}))) AS s FROM un a, un b WHERE (a.x - b.x) ** 2 + (a.y - b.y) ** 2 < 64 * {s} * {s} GROUP BY 1)""".format(s=SIGMA_BAR)
+
+
+@query("j09b_kernel_sums", f"WITH {_SUMS} SELECT loc, round(s, 8) AS s FROM ks")
+def j09b(t):
+    """Sum of the kernel over all unlabelled customers at each of their places, without their pairs."""
+    un = locations(spread_points(t), COORDS).filter("n_unl > 0")
+    return kernel_sums(un, un, COORDS, SIGMA_BAR, ["n_unl"]).select("loc", r("s_n_unl", 8).alias("s"))
+
+
 @query("o01_objective_terms", f"WITH {_NODES} SELECT loc, u, round(d, 6) AS d, round(b, 6) AS b FROM nd")
 def o01(t):
-    return problem(t).nodes.select("loc", "u", r("d").alias("d"), r("b").alias("b"))
+    return field_problem(t).nodes.select("loc", "u", r("d").alias("d"), r("b").alias("b"))
 
 
 @query("o02_gradient", f"WITH {_NODES} SELECT loc, round(g, 6) AS g FROM gr")
 def o02(t):
-    s = problem(t)
+    s = field_problem(t)
     return s.state(start(s)).select("loc", r("g").alias("g"))
 
 
 @query("o02b_objective_value", f"WITH {_NODES} SELECT round(sum(u * y * (g + b) / 2), 5) AS f, round(sqrt(sum(u * g * g)), 5) AS norm FROM gr")
 def o02b(t):
-    s = problem(t)
+    s = field_problem(t)
     f, n = s.measure(s.state(start(s)))
     return t.spark.createDataFrame([(round(f, 5), round(n, 5))], "f double, norm double")
 
@@ -90,7 +106,7 @@ _ROUND2 = _NODES + """, y1 AS (SELECT loc, u, d, b, y - g / d AS y FROM gr), s1
 
 @query("o04_two_descent_rounds", f"WITH {_ROUND2} SELECT loc, round(y, 6) AS y FROM y2")
 def o04(t):
-    s = problem(t)
+    s = field_problem(t)
     state, _ = s.descend("exact", rounds=2, tol=0.0, start=start(s))
     return state.select("loc", r("y").alias("y"))
 
