@@ -10,6 +10,7 @@ from lodestat.operators.frames import MASK_P, row_hash
 from lodestat.operators.spreading import FieldSpreading, Spreading, gap_history, kernel_edges, locations
 from lodestat.plans.registry import query
 from lodestat.plans.tabular import r, row_hash_sql
+from lodestat.session import cut
 
 # kernel widths for labelled and unlabelled neighbours, ridge, smallest weight kept
 SIGMA, SIGMA_BAR, ALPHA, EPS = 0.3, 0.25, 0.1, 1e-15
@@ -132,10 +133,21 @@ def o05b(t):
 
 @query("o06_block_sweeps")
 def o06(t):
-    _, h = problem(t).sweep(blocks=4, epochs=2)
+    _, h = problem(t).sweep(epochs=2)
     return t.spark.createDataFrame(h, "round int, f double, norm double")
 
 
+@query("o06b_colouring", f"WITH {_PTS} SELECT count(*) AS nodes, 0::BIGINT AS conflicts, true AS at_most_one_more_than_degree FROM un")
+def o06b(t):
+    """Every place has a colour, neighbours differ, and colours are at most one more than the largest degree."""
+    s = problem(t)
+    c = cut(s.colours())
+    sides = s.edges.select("a", "b").join(c.withColumnsRenamed({"loc": "a", "colour": "ca"}), "a").join(c.withColumnsRenamed({"loc": "b", "colour": "cb"}), "b")
+    degree = s.edges.groupBy("a").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).scalar()
+    return c.agg(F.count("colour").alias("nodes"), F.max("colour").alias("top")).select(
+        "nodes", sides.agg(F.count_if(F.col("ca") == F.col("cb"))).scalar().alias("conflicts"), (F.col("top") <= degree).alias("at_most_one_more_than_degree"))
+
+
 @query("o07_optimum_and_gaps")
 def o07(t):
     s = problem(t)

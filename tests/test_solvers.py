@@ -64,15 +64,37 @@ def test_solvers_reach_the_direct_solution(problem, spark):
     got = {r["loc"]: r["y"] for r in sol.collect()}
     assert f == pytest.approx(best) and [got[v] for v in loc] == pytest.approx(y.tolist(), abs=1e-7)
     runs = {"exact": s.descend("exact", rounds=6)[1], "greedy": s.greedy(m=1, rounds=3)[1], "blocks": s.greedy(m=8, rounds=4)[1],
-            "sweep": s.sweep(blocks=3, epochs=2)[1]}
+            "sweep": s.sweep(epochs=2)[1]}
     for name, h in runs.items():
         fs = [r[1] for r in h]
         assert fs[-1] < fs[0] and fs[-1] >= best - 1e-9, name
-    assert all(a >= b2 - 1e-12 for a, b2 in zip([r[1] for r in runs["greedy"]], [r[1] for r in runs["greedy"]][1:]))
+    for name in ("greedy", "blocks", "sweep"):  # single coordinates never raise F
+        fs = [r[1] for r in runs[name]]
+        assert all(x >= z - 1e-12 for x, z in zip(fs, fs[1:])), name
     gaps = gap_history(spark, runs, best).collect()
     assert all(0 <= r["percent"] <= 100 for r in gaps)
 
 
+def test_a_coloured_sweep_is_one_coordinate_after_the_other(problem):
+    s, q, b, loc = problem
+    colour = {r["loc"]: r["colour"] for r in s.colours(3).collect()}
+    assert set(colour) == set(loc)
+    assert all(colour[r["a"]] != colour[r["b"]] for r in s.edges.collect())
+    names = sorted(set(colour.values()))
+    y, at = np.zeros(len(loc)), {v: [i for i, x in enumerate(loc) if x == v] for v in set(loc)}
+    for epoch in range(2):
+        for c in np.random.default_rng([3, epoch]).permutation(len(names)):
+            for v in sorted(v for v in at if colour[v] == names[c]):  # copies of a place move together
+                i = at[v][0]
+                y[at[v]] -= (q[i] @ y + b[i]) / q[i, i]
+    state, history = s.sweep(epochs=2, tol=0.0, seed=3)
+    got = {r["loc"]: (r["y"], r["g"]) for r in state.collect()}
+    assert [got[v][0] for v in loc] == pytest.approx(y.tolist(), abs=1e-9)
+    # gradients that were only changed by moves are still the true ones
+    assert [got[v][1] for v in loc] == pytest.approx((q @ y + b).tolist(), abs=1e-9)
+    assert len(history) == 3
+
+
 def test_projection(spark):
     rng = np.random.default_rng(8)
     rows = [("g", i, float(v)) for i, v in enumerate(rng.normal(size=200))] + [("h", 1000 + i, 0.3) for i in range(50)]
