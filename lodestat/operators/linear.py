@@ -374,9 +374,13 @@ def loocv(df: DataFrame, fits: dict[str, Fit], x: Terms, y: Column) -> DataFrame
             .groupBy("model").agg((F.sum("s") / F.sum("n")).alias("cv_error")))
 
 
-def kfold(df: DataFrame, models: dict[str, list[str]], x: Terms, y: Column, fold: Column) -> list[tuple[str, float]]:
-    """k-fold error per model: training Gram = whole minus fold, test error from the fold's Gram."""
-    whole, parts = fold_grams(df, x, y, fold)
+def kfold(df: DataFrame, models: dict[str, list[str]], x: Terms, y: Column, fold: Column,
+          grams: tuple[Gram, dict[int, Gram]] | None = None) -> list[tuple[str, float]]:
+    """k-fold error per model: training Gram = whole minus fold, test error from the fold's Gram.
+
+    ``grams``: those of ``fold_grams``, if at hand.
+    """
+    whole, parts = grams or fold_grams(df, x, y, fold)
     out = []
     for name, terms in models.items():
         sse = sum(Fit(minus(whole, g).keep(terms)).cross_error(g.keep(terms)) for g in parts.values())

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestat.operators.ordering import exact_quantiles, first_per_key
-from lodestat.session import per_group
+from lodestat.session import cut, per_group
 
 QUARTILES = {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
 
@@ -40,11 +40,15 @@ def histogram(df: DataFrame, col: str, bins: int | None = None, breaks: list[flo
         edge = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
         width = (edge["hi"] - edge["lo"]) / bins
         breaks = [edge["lo"] + i * width for i in range(bins)] + [edge["hi"]]
-    index = F.lit(0)
-    for b in breaks[1:-1]:
-        index = index + (c >= F.lit(float(b))).cast("int")
+    # a binary search among the inner breaks: a handful of comparisons a row however many bins
+    inner = F.array(*[F.lit(float(b)) for b in breaks[1:-1]]) if len(breaks) > 2 else F.array().cast("array<double>")
+    index, step = F.lit(0), 1 << max(0, len(breaks) - 2).bit_length()
+    while step > 1:
+        step >>= 1
+        index = index + F.when(c >= F.get(inner, index + (step - 1)), step).otherwise(0)
+        df, index = df.withColumn("_at", index), F.col("_at")
     inside = (c >= F.lit(float(breaks[0]))) & (c <= F.lit(float(breaks[-1])))
-    counts = df.filter(inside).groupBy(index.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counts = cut(df.filter(inside).groupBy(index.alias("bin")).agg(F.count(F.lit(1)).alias("n")))  # a row per bin
     grid = spark.createDataFrame(
         [(i, float(breaks[i]), float(breaks[i + 1])) for i in range(len(breaks) - 1)], "bin int, lo double, hi double")
     full = grid.join(counts, "bin", "left").fillna(0, ["n"])

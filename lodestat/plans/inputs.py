@@ -184,11 +184,13 @@ def u01(t):
     return t.customer.select("c_custkey", r(f("c_acctbal")).alias("v"))
 
 
-@query("u02_vector_combiner", "SELECT label, [round(sum(embedding[1]::DOUBLE), 6), round(sum(embedding[2]::DOUBLE), 6)] AS total, count(*) AS n FROM embeddings GROUP BY 1")
+@query("u02_vector_combiner", """WITH e AS (SELECT label, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i FROM embeddings),
+ s AS (SELECT label, i, round(sum(x), 6) AS s FROM e GROUP BY 1, 2), c AS (SELECT label, count(*) AS n FROM embeddings GROUP BY 1)
+ SELECT label, list(s ORDER BY i) AS total, any_value(n) AS n FROM s JOIN c USING (label) GROUP BY 1""")
 def u02(t):
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
-    v = t.embeddings.select("label", array_to_vector(F.transform(F.slice("embedding", 1, 2), lambda x: x.cast("double"))).alias("v"))
+    v = t.embeddings.select("label", array_to_vector(F.transform("embedding", lambda x: x.cast("double"))).alias("v"))
     s = v.groupBy("label").agg(vector_to_array(Summarizer.sum(F.col("v"))).alias("s"), F.count(F.lit(1)).alias("n"))
     return s.select("label", F.transform("s", lambda x: F.round(x, 6)).alias("total"), "n")
 

@@ -276,10 +276,10 @@ def l18b(t):
 def l18c(t):
     basis = linear.legendre(t.lineitem, "l_quantity", 10)
     names = list(basis)
-    g = linear.gram(t.lineitem, basis, price())
-    fits = {str(d): linear.Fit(g.keep(names[:d])) for d in range(1, 11)}
     fold = F.pmod(row_hash(F.col("l_orderkey") * 8 + F.col("l_linenumber")), F.lit(10))
-    k10 = t.spark.createDataFrame(linear.kfold(t.lineitem, {str(d): names[:d] for d in range(1, 11)}, basis, price(), fold), "model string, kfold double")
+    grams = linear.fold_grams(t.lineitem, basis, price(), fold)
+    fits = {str(d): linear.Fit(grams[0].keep(names[:d])) for d in range(1, 11)}
+    k10 = t.spark.createDataFrame(linear.kfold(t.lineitem, {str(d): names[:d] for d in range(1, 11)}, basis, price(), fold, grams), "model string, kfold double")
     return linear.loocv(t.lineitem, fits, basis, price()).join(k10, "model")
 
 
