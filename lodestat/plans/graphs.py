@@ -121,6 +121,12 @@ def g07b(t):
     return graph.path_lengths(*word_network(t), LANG, n_sources=63)
 
 
+@query("g07c_mean_path_all_words")
+def g07c(t):
+    """All sources of the networks of spoken words, which grow with the table, by merged counters."""
+    return graph.estimated_path_lengths(*talk_network(t), LANG)
+
+
 # what every null model of these networks keeps: their sizes, no loops, no repeated edges
 _NULL_SQL = f"""WITH t AS (SELECT role AS lang, {S.WORDS_SQL} AS words FROM conversations),
  links AS (SELECT lang, unnest(words[1:len(words)-1]) AS src, unnest(words[2:len(words)]) AS dst FROM t WHERE len(words) > 1),

@@ -127,3 +127,21 @@ def test_long_paths_are_followed_to_the_end(spark):
     nodes = endpoints(edges, ["g"])
     r = graph.path_lengths(nodes, edges, ["g"]).first()
     assert r["n_pairs"] == 72 and r["mean_path"] == pytest.approx(10 / 3)
+
+
+def test_merged_counters_estimate_the_mean_path(spark):
+    rng = random.Random(2)
+    ring = [("r", f"{i:03d}", f"{(i + 1) % 200:03d}") for i in range(200)]
+    more = [("r", f"{rng.randrange(200):03d}", f"{rng.randrange(200):03d}") for _ in range(60)]
+    rows = ring + [e for e in more if e[1] != e[2]] + [("s", "a", "b"), ("s", "b", "c"), ("two", "a", "b"), ("two", "c", "d")]
+    edges = spark.createDataFrame(rows, "g string, src string, dst string")
+    nodes = endpoints(edges, ["g"])
+    exact = {r["g"]: r for r in graph.path_lengths(nodes, edges, ["g"]).collect()}
+    got = {r["g"]: r for r in graph.estimated_path_lengths(nodes, edges, ["g"], lg_k=10).collect()}
+    for g, want in exact.items():
+        bound = 3 * got[g]["error"]
+        assert got[g]["n_nodes"] == want["n_sources"]
+        assert got[g]["n_pairs"] == pytest.approx(want["n_pairs"], rel=bound) and got[g]["mean_path"] == pytest.approx(want["mean_path"], rel=bound)
+    assert got["s"]["mean_path"] == pytest.approx(4 / 3, rel=1e-3) and got["two"]["n_pairs"] == pytest.approx(4, rel=1e-3)
+    with pytest.raises(RuntimeError):
+        graph.estimated_path_lengths(nodes, edges, ["g"], rounds=2)
