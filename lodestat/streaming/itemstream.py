@@ -27,10 +27,22 @@ def file_items(spark: SparkSession, path: str, schema: T.StructType, item: str,
     return reader.format(fmt).load(path).select(F.col(item).cast("bigint").alias("item"))
 
 
-def socket_items(spark: SparkSession, host: str, port: int) -> DataFrame:
-    """Stream of one integer per text line from a socket; lines that are no integer are dropped."""
+def integers(lines: DataFrame, strict: bool = True) -> DataFrame:
+    """``item`` of lines with one integer each; a line that is none stops the stream, or is left out unless ``strict``.
+
+    Empty lines hold no item.
+    """
+    text = F.trim("value")
+    number = text.try_cast("bigint")
+    if strict:
+        number = F.coalesce(number, F.raise_error(F.concat(F.lit("not an integer: "), text)).cast("bigint"))
+    return lines.filter(text != "").select(number.alias("item")).filter("item IS NOT NULL")
+
+
+def socket_items(spark: SparkSession, host: str, port: int, strict: bool = True) -> DataFrame:
+    """Stream of one integer per text line from a socket."""
     lines = spark.readStream.format("socket").option("host", host).option("port", port).load()
-    return lines.select(F.col("value").try_cast("bigint").alias("item")).filter("item IS NOT NULL")
+    return integers(lines, strict)
 
 
 class ItemCounter:

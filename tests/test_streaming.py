@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from lodestat.session import scratch_path
 from lodestat.streaming import sketches as K
-from lodestat.streaming.itemstream import ItemCounter, file_items
+from lodestat.streaming.itemstream import ItemCounter, file_items, integers
 
 SCHEMA = T.StructType([T.StructField("item", T.LongType())])
 
@@ -73,3 +73,12 @@ def test_hash_range_and_large_items(spark):
 def test_guarded_error(spark):
     h = spark.createDataFrame([(1, 10, 12.0), (2, 10, -5.0)], "item bigint, n bigint, est double")
     assert tuple(K.relative_error(h).first()) == pytest.approx((0.1, 0.85))
+
+
+def test_lines_that_are_no_integers_are_not_lost_silently(spark):
+    lines = spark.createDataFrame([("12",), (" -7 ",), ("",), ("9223372036854775807",)], "value string")
+    assert [r["item"] for r in integers(lines).collect()] == [12, -7, 9223372036854775807]
+    bad = lines.union(spark.createDataFrame([("x1",), ("3.5",)], "value string"))
+    assert [r["item"] for r in integers(bad, strict=False).collect()] == [12, -7, 9223372036854775807]
+    with pytest.raises(Exception, match="not an integer: x1"):
+        integers(bad).collect()
