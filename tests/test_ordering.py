@@ -90,3 +90,13 @@ def test_token_and_substring_membership(spark):
     d = spark.createDataFrame([("The cat sat",)], "t string")
     f = d.select(frames.word_in_document(F.col("t"), "CAT"), frames.word_in_document(F.col("t"), "ca"), frames.word_in_document(F.col("t"), "ca", "substring")).first()
     assert tuple(f) == (True, False, True)
+
+
+def test_four_decimals_are_rounded_by_the_binary_value(spark):
+    rng = np.random.default_rng(8)
+    # halves that binary fractions hit, decimals just above or below a half, and random shares
+    values = [k / 32 for k in range(33)] + [k / 10000 + 0.00005 for k in range(0, 10000, 7)] + rng.random(3000).tolist() + [1e-9, 4.9999e-5, 5e-5, 0.99995, 0.99999]
+    got = spark.createDataFrame([(v,) for v in values], "x double").select("x", frames.fixed_four(F.col("x")).alias("t")).collect()
+    assert [(r["x"], r["t"]) for r in got if r["t"] != f"{r['x']:.4f}"] == []
+    p = spark.createDataFrame([(1 / 32,)], "p double").select(frames.format_pvalue(F.col("p"))).first()[0]
+    assert p == "0.0312 ± 0.0017"
