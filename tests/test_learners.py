@@ -203,3 +203,10 @@ def test_fits_of_all_folds_equal_fits_alone(spark):
     w = comparison.logistic_newton(placed.withColumn("x", F.array("_z0")).withColumn("m", F.lit("a")), "x", "quality", {"a": 0.0001}, "m")["a"]
     glm = classify.logistic(placed, ["_z0"], "quality")
     assert w[0] == pytest.approx(glm.coefficients[0], rel=0.02) and w[1] == pytest.approx(glm.intercept, abs=0.02)
+
+
+def test_quantile_edges_are_exact(spark):
+    x = np.random.default_rng(2).normal(size=(20_001, 2))
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double")
+    at = np.ceil(len(x) * np.arange(1, 33) / 32.0).astype(int) - 1
+    assert trees.edges(df, ["a", "b"], 32) == [np.sort(x[:, i])[at][:-1].tolist() for i in range(2)]
