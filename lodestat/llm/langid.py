@@ -66,8 +66,20 @@ def _unpacked(bits: list[bytes]) -> np.ndarray:
     return _unit(rows.astype("float32"))
 
 
-def fit(bits: list[bytes], langs: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Languages, landmark matrix and dual coefficients from packed presence rows."""
+def _known_share(k: np.ndarray, sizes: np.ndarray, mark_sizes: np.ndarray) -> np.ndarray:
+    """Largest share of a text's n-grams that one landmark holds too, beyond what hashing gives by chance.
+
+    ``k``: kernel of texts and landmarks; ``sizes``: their numbers of n-grams.
+    """
+    chance = mark_sizes[None, :] / BINS
+    share = k * np.sqrt(mark_sizes[None, :] / np.maximum(sizes[:, None], 1))
+    return ((share - chance) / np.maximum(1 - chance, 1e-9)).max(1)
+
+
+def fit(bits: list[bytes], langs: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, float]:
+    """Languages, landmark matrix, dual coefficients, the landmarks' numbers of n-grams and the evidence a
+    known language has at least: half of the least known share of the sampled rows that are no landmarks.
+    """
     names = sorted(set(langs))
     y = np.where(np.array(langs)[:, None] == np.array(names)[None, :], 1.0, -1.0)
     # presence rows are unpacked a few at a time: what stays is the landmarks and their kernel values
@@ -76,7 +88,10 @@ def fit(bits: list[bytes], langs: list[str]) -> tuple[list[str], np.ndarray, np.
     k_mm = k_nm[:len(marks)]
     system = k_nm.T @ k_nm + RIDGE * len(bits) * k_mm
     alpha = np.linalg.solve(system + 1e-6 * np.trace(system) / len(system) * np.eye(len(system)), k_nm.T @ y)
-    return names, marks, alpha
+    sizes = np.array([np.unpackbits(np.frombuffer(b, "uint8")).sum() for b in bits], "float64")
+    others, own = k_nm[len(marks):], sizes[:len(marks)]
+    floor = 0.5 * float(_known_share(others, sizes[len(marks):], own).min()) if len(others) else 0.0
+    return names, marks, alpha, own, max(0.0, floor)
 
 
 def learnable(key: Column) -> Column:
@@ -117,50 +132,55 @@ def sample(docs: DataFrame) -> list:
 
 
 def annotate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``input`` (the whole row), ``doc_id, held_out, lang_pred, score`` of every row of ``docs``.
+    """``input`` (the whole row), ``doc_id, held_out, lang_pred, score, familiar`` of every row of ``docs``.
 
-    The score is half the lead over the second best language.
+    The score is half the lead over the second best language.  A text is familiar if it shares as much with
+    a landmark as texts of the learned languages do, however short or mixed it is.
     """
     spark = docs.sparkSession
     rows = narrow(docs, doc_id=id_col, text=text_col, lang=lang_col)
     learned = sample(rows)
-    names, marks, alpha = fit([b for _, b in learned], [n for n, _ in learned]) if learned else ([], None, None)
-    model = spark.sparkContext.broadcast((names, marks, alpha))  # at most LANDMARKS x BINS numbers
+    fitted = fit([b for _, b in learned], [n for n, _ in learned]) if learned else ([], None, None, None, 0.0)
+    model = spark.sparkContext.broadcast(fitted)  # at most LANDMARKS x BINS numbers
 
     def score(batches):
-        names, marks, alpha = model.value
+        names, marks, alpha, mark_sizes, floor = model.value
         label = np.array([*names, UNKNOWN], dtype=object)
         for b in batches:
             texts = b.column(2).to_pylist()
-            best, lead = np.full(len(texts), len(names)), np.zeros(len(texts))
+            best, lead, familiar = np.full(len(texts), len(names)), np.zeros(len(texts)), np.zeros(len(texts), bool)
             told = [i for i, t in enumerate(texts) if names and t and _LETTER.search(t)]
             for at in range(0, len(told), _BATCH):
                 part = told[at:at + _BATCH]
-                f = (_unit(presence([texts[i] for i in part])) @ marks.T).astype("float64") @ alpha
+                grams = presence([texts[i] for i in part])
+                k = (_unit(grams) @ marks.T).astype("float64")
+                f = k @ alpha
                 best[part] = f.argmax(1)
+                familiar[part] = _known_share(k, grams.sum(1, dtype="float64"), mark_sizes) >= floor
                 second = np.sort(f, 1)[:, -2] if len(names) > 1 else np.full(len(part), -1.0)
                 lead[part] = np.clip((f.max(1) - second) / 2, 0, 1)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), pa.array(label[best], pa.string()), pa.array(lead)],
-                                             names=["input", "doc_id", "held_out", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), pa.array(label[best], pa.string()), pa.array(lead), pa.array(familiar)],
+                                             names=["input", "doc_id", "held_out", "lang_pred", "score", "familiar"])
 
     asked = docs.select(F.struct("*").alias("input")).select(
         "input", F.col(f"input.`{id_col}`").cast("long").alias("doc_id"), F.col(f"input.`{text_col}`").alias("text"))
     asked = asked.withColumn("held_out", F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(False)))
     out = T.StructType([asked.schema["input"], T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()),
-                        T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+                        T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("familiar", T.BooleanType())])
     return asked.mapInArrow(score, out)
 
 
 def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` of every row."""
     needed = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys((id_col, text_col, lang_col))])
-    return annotate(needed, id_col, text_col, lang_col).drop("input")
+    return annotate(needed, id_col, text_col, lang_col).drop("input", "familiar")
 
 
 def known(docs: DataFrame, least: float = 0.0, **columns: str) -> DataFrame:
-    """The rows of ``docs`` whose language is known with a score of ``least`` or more.
+    """The rows of ``docs`` in a learned language, with a score of ``least`` or more.
 
-    By default only texts without a language go: a small lead is common in texts of two languages.
+    Texts without a language go, and texts unlike all that was learned.  A small lead is common in
+    texts of two languages, so by default it costs no text its place.
     """
-    told = annotate(docs, **columns).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    told = annotate(docs, **columns).filter((F.col("lang_pred") != UNKNOWN) & F.col("familiar") & (F.col("score") >= least))
     return told.select("input.*")

@@ -273,6 +273,14 @@ def test_language_on_held_out_rows(spark, docs, none):
     assert {r["lang_pred"] for r in langid.predict(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_texts_unlike_all_languages_learned_are_not_known(spark):
+    rows = [(i, " ".join(np.random.default_rng(i).permutation(PROSE[i % 4].split())), "enfresde"[2 * (i % 4):2 * (i % 4) + 2]) for i in range(1200)]
+    mixed = [(2000, PROSE[0] + " " + PROSE[2], "en"), (2001, PROSE[1].split()[0], "fr")]
+    strange = [(3000, "Съешь же ещё этих мягких булок, да выпей чаю", None), (3001, "これは日本語の文章です", None), (3002, "你好世界", None)]
+    frame = spark.createDataFrame(rows + mixed + strange, "doc_id long, text string, lang string").repartition(4)
+    assert {r["doc_id"] for r in langid.known(frame).collect()} == {r[0] for r in rows + mixed}
+
+
 # --- quality ---------------------------------------------------------------------------------
 
 
