@@ -7,7 +7,7 @@ top-n per query, so pairs are scored but never emitted.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -20,42 +20,80 @@ from lodestat.session import cut
 
 # Up to this many query vectors travel to the tasks as one matrix; more are blocked on both sides.
 QUERY_LIMIT = 4096
-VECTOR_BLOCK = 100_000
+VECTOR_BLOCK = 65_536
+# Blocks grow with the tables so that a row is copied to at most this many, as long as a block fits a task.
+COPIES = 32
+_QUERY_ROOM, _VECTOR_ROOM = 16_384, 65_536
 # Similarities are rounded before ranking so that ties are decided by id on every machine.
 SIM_DIGITS = 9
+# Similarities held at a time.
+_CELLS = 1 << 21
 
 
-def _unit_rows(col: pd.Series) -> np.ndarray:
-    m = np.stack(col.to_numpy()).astype(np.float64)
+def _unit_rows(col: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    m = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(col), -1) if len(col) else np.zeros((0, 0))
     n = np.sqrt(np.einsum("ij,ij->i", m, m))
     return m / np.where(n > 0, n, np.inf)[:, None]
 
 
+def _ids(col: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return col.to_numpy(zero_copy_only=False) if isinstance(col, pa.Array) else col.to_numpy()
+
+
 class _Best:
-    """Running best ``n`` of each query."""
+    """Running best ``n`` of each query: flat arrays of query number, id and similarity, by query and rank."""
 
-    def __init__(self, qids: list, q: np.ndarray, n: int, skip_self: bool):
+    def __init__(self, qids: np.ndarray, q: np.ndarray, n: int, skip_self: bool):
         self.qids, self.q, self.n, self.skip_self = qids, q, n, skip_self
-        self.ids: list = [None] * len(qids)
-        self.sims: list = [None] * len(qids)
+        self.floor = np.full(len(qids), -np.inf)  # nothing below can be among the best
+        self.at, self.ids, self.sims = np.zeros(0, "int64"), None, np.zeros(0)
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        sims = np.round(self.q @ vectors.T, SIM_DIGITS) + 0.0
-        for i, qid in enumerate(self.qids):
-            row = sims[i]
-            keep = np.ones(len(row), bool) if not self.skip_self else ids != qid
-            if keep.sum() > self.n:
-                floor = np.partition(row[keep], -self.n)[-self.n]
-                keep &= row >= floor
-            s, d = row[keep], ids[keep]
-            if self.sims[i] is not None:
-                s, d = np.concatenate([self.sims[i], s]), np.concatenate([self.ids[i], d])
-            order = np.lexsort((d, -s))[: self.n]
-            self.sims[i], self.ids[i] = s[order], d[order]
-
-    def frame(self) -> pd.DataFrame:
-        parts = [(qid, v, s) for qid, ids, sims in zip(self.qids, self.ids, self.sims) if ids is not None for v, s in zip(ids, sims)]
-        return pd.DataFrame(parts, columns=["qid", "id", "sim"])
+        """Vectors meet the queries in pieces, so that never more than about ``_CELLS`` similarities are held."""
+        whole = np.isfinite(vectors).all(1)
+        if not whole.all():
+            ids, vectors = ids[whole], vectors[whole]
+        wide = max(1, min(len(ids), 4096))
+        tall = max(1, _CELLS // wide)
+        for v in range(0, len(ids), wide):
+            found = [self._near(slice(q, q + tall), ids[v:v + wide], vectors[v:v + wide]) for q in range(0, len(self.qids), tall)]
+            self._keep(*(np.concatenate(x) for x in zip(*found)))
+
+    def _near(self, rows: slice, ids: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        sims = self.q[rows] @ vectors.T
+        floor = self.floor[rows]
+        # one more than asked, as the query itself may be among them
+        reach = self.n + self.skip_self
+        if np.isneginf(floor).any() and sims.shape[1] > reach:
+            floor = np.maximum(floor, np.partition(sims, -reach, axis=1)[:, -reach])
+        # what rounding could lift stays
+        at, place = np.nonzero(sims >= (floor - 2 * 10.0**-SIM_DIGITS)[:, None])
+        if self.skip_self:
+            other = ids[place] != self.qids[rows][at]
+            at, place = at[other], place[other]
+        return self._first(at + rows.start, ids[place], np.round(sims[at, place], SIM_DIGITS) + 0.0)[:3]
+
+    def _first(self, at: np.ndarray, ids: np.ndarray, sims: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The best ``n`` of each query, by query and rank, and which of them are the ``n``-th."""
+        order = np.lexsort((ids, -sims, at))
+        at, ids, sims = at[order], ids[order], sims[order]
+        place = np.arange(len(at)) - np.searchsorted(at, at)
+        best = place < self.n
+        return at[best], ids[best], sims[best], place[best] == self.n - 1
+
+    def _keep(self, at: np.ndarray, ids: np.ndarray, sims: np.ndarray) -> None:
+        if not len(at):
+            return
+        if self.ids is not None:
+            at, ids, sims = np.concatenate([self.at, at]), np.concatenate([self.ids, ids]), np.concatenate([self.sims, sims])
+        self.at, self.ids, self.sims, last = self._first(at, ids, sims)
+        self.floor[self.at[last]] = self.sims[last]
+
+    def table(self, kind: pa.DataType) -> pa.RecordBatch:
+        ids = self.ids if self.ids is not None else []
+        return pa.RecordBatch.from_arrays([pa.array(self.qids[self.at], kind), pa.array(ids, kind), pa.array(self.sims)], names=["qid", "id", "sim"])
 
 
 def top_similar(vectors: DataFrame, queries: DataFrame, n: int, skip_self: bool = False,
@@ -64,40 +102,50 @@ def top_similar(vectors: DataFrame, queries: DataFrame, n: int, skip_self: bool
 
     ``vectors`` holds (id, vec), ``queries`` (qid, qvec); ids of one type.  Exact for any
     number of queries: few travel as one matrix and the vectors are not shuffled, many
-    meet the vectors in hashed blocks of bounded size.
+    meet the vectors in hashed blocks of bounded size.  The work is queries times vectors; memory is that
+    of two blocks.  ``query_limit`` and ``vector_block`` are the sizes of a block as long as no row is
+    copied to more than ``COPIES`` blocks.  Null vectors take no part.
     """
     id_type = vectors.schema["id"].dataType.simpleString()
     schema = f"qid {id_type}, id {id_type}, sim double"
-    few = queries.select("qid", "qvec").limit(query_limit + 1).toPandas()
-    if len(few) <= query_limit:
-        if few.empty:
+    vectors = vectors.select("id", F.col("vec").cast("array<double>").alias("vec")).filter("vec is not null")
+    queries = queries.select("qid", F.col("qvec").cast("array<double>").alias("qvec")).filter("qvec is not null")
+    few = queries.limit(query_limit + 1).toArrow()
+    if few.num_rows <= query_limit:
+        if not few.num_rows:
             return vectors.sparkSession.createDataFrame([], schema + ", rank int")
-        qids, q = few["qid"].tolist(), _unit_rows(few["qvec"])
+        qids, q = _ids(few.column("qid")), _unit_rows(few.column("qvec"))
 
-        def scan(frames):
-            best = _Best(qids, q, n, skip_self)
-            for pdf in frames:
-                if len(pdf):
-                    best.add(pdf["id"].to_numpy(), _unit_rows(pdf["vec"]))
-            yield best.frame()
+        def scan(batches):
+            best, kind = _Best(qids, q, n, skip_self), None
+            for b in batches:
+                kind = b.schema.field(0).type
+                best.add(_ids(b.column(0)), _unit_rows(b.column(1)))
+            if kind is not None:
+                yield best.table(kind)
 
-        partial = vectors.select("id", "vec").mapInPandas(scan, schema)
+        partial = vectors.mapInArrow(scan, schema)
     else:
-        qb = max(1, -(-queries.count() // query_limit))
-        vb = max(1, -(-vectors.count() // vector_block))
+        del few
+
+        def blocks(df: DataFrame, own: int, room: int) -> int:
+            rows = df.count()
+            size = max(1, own, min(room, -(-rows // COPIES)))
+            return max(1, -(-rows // size))
+
+        qb, vb = blocks(queries, query_limit, _QUERY_ROOM), blocks(vectors, vector_block, _VECTOR_ROOM)
         left = queries.select("qid", "qvec", F.pmod(F.xxhash64("qid"), F.lit(qb)).alias("_q"),
                               F.explode(F.sequence(F.lit(0), F.lit(vb - 1))).alias("_v"))
         right = vectors.select("id", "vec", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(qb - 1).cast("bigint"))).alias("_q"),
                                F.pmod(F.xxhash64("id"), F.lit(vb)).cast("int").alias("_v"))
 
-        def block(lhs: pd.DataFrame, rhs: pd.DataFrame) -> pd.DataFrame:
-            if lhs.empty or rhs.empty:
-                return pd.DataFrame({"qid": [], "id": [], "sim": []})
-            best = _Best(lhs["qid"].tolist(), _unit_rows(lhs["qvec"]), n, skip_self)
-            best.add(rhs["id"].to_numpy(), _unit_rows(rhs["vec"]))
-            return best.frame()
+        def block(lhs: pa.Table, rhs: pa.Table) -> pa.Table:
+            best = _Best(_ids(lhs.column("qid")), _unit_rows(lhs.column("qvec")), n, skip_self)
+            if lhs.num_rows and rhs.num_rows:
+                best.add(_ids(rhs.column("id")), _unit_rows(rhs.column("vec")))
+            return pa.Table.from_batches([best.table(rhs.schema.field("id").type)])
 
-        partial = left.groupBy("_q", "_v").cogroup(right.groupBy("_q", "_v")).applyInPandas(block, schema)
+        partial = left.groupBy("_q", "_v").cogroup(right.groupBy("_q", "_v")).applyInArrow(block, schema)
     return top_per_key(partial, ["qid"], [F.desc("sim"), F.col("id")], n)
 
 

@@ -184,3 +184,24 @@ def test_whitespace_table_keeps_every_row(spark, tmp_path):
     (tmp_path / "b.txt").write_text("K V\nx 1\n2\n")
     with pytest.raises(PySparkException, match="expected 2 fields"):
         files.read_whitespace_table(spark, str(tmp_path / "b.txt"), schema).collect()
+
+
+def test_blocks_of_a_search_stay_small_and_keep_ties(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    m = rng.normal(size=(400, 8))
+    m[100:250] = m[100]  # equal vectors: ties by id
+    m /= np.sqrt((m * m).sum(1))[:, None]
+    sims = np.round(m @ m.T, V.SIM_DIGITS) + 0.0
+    want = [[j for j in np.lexsort((np.arange(400), -sims[i])) if j != i][:7] for i in range(400)]
+    monkeypatch.setattr(V, "_CELLS", 1000)
+    held = []
+    near = V._Best._near
+    monkeypatch.setattr(V._Best, "_near", lambda self, rows, ids, v: held.append(len(self.qids[rows]) * len(ids)) or near(self, rows, ids, v))
+    best = V._Best(np.arange(400), m, 7, True)
+    for at in range(0, 400, 130):
+        best.add(np.arange(400)[at:at + 130], m[at:at + 130])
+    assert best.ids.reshape(400, 7).tolist() == want and max(held) <= 1000
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)] + [(999, None)], "id long, vec array<double>").repartition(5)
+    monkeypatch.setattr(V, "COPIES", 3)
+    got = V.top_similar(df, df.toDF("qid", "qvec"), 7, True, query_limit=5, vector_block=4).orderBy("qid", "rank").toPandas()
+    assert got["id"].to_numpy().reshape(400, 7).tolist() == want
