@@ -210,3 +210,13 @@ def test_quantile_edges_are_exact(spark):
     df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double")
     at = np.ceil(len(x) * np.arange(1, 33) / 32.0).astype(int) - 1
     assert trees.edges(df, ["a", "b"], 32) == [np.sort(x[:, i])[at][:-1].tolist() for i in range(2)]
+
+
+def test_density_plans_stay_short(spark, monkeypatch):
+    """A column per moment made plans of many nested products, which the driver could not hold."""
+    from lodestat.operators import density
+    seen = []
+    monkeypatch.setattr(density, "cut", lambda df, real=density.cut: seen.append(len(df._jdf.queryExecution().optimizedPlan().toJSON())) or real(df))
+    df = spark.createDataFrame([(float(i % 7), "a") for i in range(50)], "x double, g string")
+    assert kernel_density(df, df.select("x"), "x", {"a": 0.7}, "g").count() == 7
+    assert seen and max(seen) < 60_000, seen
