@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestat.operators import simplex
-from lodestat.operators.spreading import Spreading, gap_history
+from lodestat.operators.spreading import FieldSpreading, Spreading, gap_history
 
 
 @pytest.fixture(scope="module")
@@ -143,3 +143,33 @@ def test_conjugate_gradient_settles_or_raises(problem):
         s.solve(rounds=2, tol=1e-10)
     with pytest.raises(RuntimeError):
         s.spectral_norm(tol=1e-12, rounds=2)
+
+
+def test_moves_without_a_table_of_pairs(spark):
+    rng = np.random.default_rng(9)
+    xy = rng.uniform(0, 12, (90, 2))
+    xy[40:46] = xy[0]
+    rows = [(i, float(a), float(b), (1 if i % 2 else -1) if i % 9 == 0 else None) for i, (a, b) in enumerate(xy)]
+    df = spark.createDataFrame(rows, "id bigint, x double, y double, label int")
+    pairs, field = Spreading(df, ["x", "y"], 0.7, 0.4, alpha=0.2), FieldSpreading(df, ["x", "y"], 0.7, 0.4, alpha=0.2)
+    assert not hasattr(field, "edges")
+    # the greedy moves are those of the table of pairs
+    for m in (9,):
+        a, b = pairs.greedy(m=m, rounds=2)[1], field.greedy(m=m, rounds=2)[1]
+        assert [x for r in b for x in r] == pytest.approx([x for r in a for x in r], abs=1e-9)
+    colour = {r["loc"]: r["colour"] for r in field.colours(3).collect()}
+    edges = pairs.edges.select("a", "b").collect()
+    degree = {v: 0 for v in colour}
+    for r in edges:
+        degree[r["a"]] += 1
+        assert colour[r["a"]] != colour[r["b"]]
+    assert set(colour) == {r["loc"] for r in pairs.nodes.collect()} and all(0 <= c <= degree[v] for v, c in colour.items())
+    one = field.nodes.select("loc", F.lit(0).alias("colour"))
+    assert {r["loc"]: (r["n"], r["same"]) for r in field.neighbours(one).collect()} == {v: (d, d) for v, d in degree.items()}
+    # a sweep lowers F with every epoch, and its gradients are the true ones
+    state, history = field.sweep(epochs=2, tol=0.0, seed=3)
+    f = [h[1] for h in history]
+    assert f[0] > f[1] > f[2] and f[1] - f[2] < 0.2 * (f[0] - f[1])
+    got = {r["loc"]: r["g"] for r in state.collect()}
+    true = {r["loc"]: r["g"] for r in pairs.state(state.select("loc", "y")).collect()}
+    assert [got[v] for v in sorted(got)] == pytest.approx([true[v] for v in sorted(got)], abs=1e-9)
