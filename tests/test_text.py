@@ -205,3 +205,12 @@ def test_blocks_of_a_search_stay_small_and_keep_ties(spark, monkeypatch):
     monkeypatch.setattr(V, "COPIES", 3)
     got = V.top_similar(df, df.toDF("qid", "qvec"), 7, True, query_limit=5, vector_block=4).orderBy("qid", "rank").toPandas()
     assert got["id"].to_numpy().reshape(400, 7).tolist() == want
+
+
+def test_heads_in_long_and_odd_sentences(spark):
+    kind = "lang string, tokens array<struct<id: string, head: string, word: string>>"
+    odd = [("2", "5", "a"), ("5", "0", "b"), ("5", "2", "c"), ("7", "x", "d"), ("8", "5", "e"), ("9", "99", "f")]  # gaps, a number twice, heads that are none
+    long = [(str(i), str(i // 2), f"w{i}") for i in range(1, 20_001)]
+    got = treebank.head_pairs(spark.createDataFrame([("x", odd), ("y", long)], kind)).collect()
+    assert sorted((r["head_word"], r["child_word"]) for r in got if r["lang"] == "x") == [("a", "c"), ("b", "a"), ("b", "e")]
+    assert {(r["head_word"], r["child_word"]) for r in got if r["lang"] == "y"} == {(f"w{i // 2}", f"w{i}") for i in range(2, 20_001)}
