@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lodestat.operators import graph, nullmodels
+from lodestat.operators import graph, nullmodels, trianglecells
 from lodestat.operators.frames import endpoints
 
 E = "g string, src string, dst string"
@@ -145,3 +145,26 @@ def test_merged_counters_estimate_the_mean_path(spark):
     assert got["s"]["mean_path"] == pytest.approx(4 / 3, rel=1e-3) and got["two"]["n_pairs"] == pytest.approx(4, rel=1e-3)
     with pytest.raises(RuntimeError):
         graph.estimated_path_lengths(nodes, edges, ["g"], rounds=2)
+
+
+def test_triangles_in_cells_are_found_once(spark):
+    """Cells of every kind of colours together find each triangle once, in pieces of a few paths too."""
+    rnd = random.Random(5)
+    pairs = sorted({tuple(sorted(rnd.sample(range(60), 2))) for _ in range(500)})
+    near = collections.defaultdict(set)
+    for x, y in pairs:
+        near[x].add(y)
+        near[y].add(x)
+    want = {v: sum(1 for x, y in itertools.combinations(sorted(nb), 2) if y in near[x]) for v, nb in near.items()}
+    up = spark.createDataFrame(pairs, "low long, high long")
+    for b in (1, 2, 3, 5):
+        got = {r["id"]: r["triangles"] for r in trianglecells.triangle_counts(up, len(pairs), b).collect()}
+        assert got == {v: n for v, n in want.items() if n}, b
+    assert trianglecells.colours(70_000_000) == 11 and trianglecells.colours(10) == 4
+
+
+def test_paths_of_two_edges_are_no_rows(spark, graphs):
+    """No join of edges with edges: the plan of the triangles has none after the numbering."""
+    up = spark.createDataFrame([(0, 1), (1, 2), (0, 2)], "low long, high long")
+    plan = trianglecells.triangle_counts(up, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
