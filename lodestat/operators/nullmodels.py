@@ -26,8 +26,8 @@ def _replicated(df: DataFrame, reps: int) -> DataFrame:
 def random_graphs(nodes: DataFrame, edges: DataFrame, by: list[str], reps: int, seed: int = 0) -> DataFrame:
     """Per graph and replicate: E distinct random pairs over nodes 0..N-1, no loops.
 
-    Sparse graphs draw hashed candidates beside the real edges and keep the E
-    distinct ones with the lowest hash; graphs denser than one half rank all pairs.
+    Sparse graphs draw hashed candidates beside the real edges, few more than give E distinct
+    ones, and keep the E with the lowest hash; graphs denser than one half rank all pairs.
     Columns: ``by``, rep, src, dst.
     """
     size = network_stats(nodes, edges, by).select(*by, "n_nodes", "n_edges").withColumn(
@@ -40,12 +40,15 @@ def random_graphs(nodes: DataFrame, edges: DataFrame, by: list[str], reps: int,
         *key, "n_edges", (F.col("_i") - 1).alias("src"),
         F.explode(F.sequence(F.col("_i"), F.col("n_nodes") - 1)).alias("dst"),
     ).withColumn("_prio", F.xxhash64(F.lit(seed), "rep", "src", "dst"))
-    copies = 2
+    copies = 1
     while True:
-        need = -F.log(1 - F.col("n_edges") / F.col("_pairs")) * F.col("_pairs") / F.col("n_edges")
-        draws = F.ceil(need * copies).cast("int") + 1
-        drawn = _replicated(edges.join(size.filter("NOT _dense"), by), reps).select(
-            *key, "n_edges", "n_nodes", "src", "dst", F.explode(F.sequence(F.lit(1), draws)).alias("_c"))
+        # draws for each edge that give E distinct pairs without loops on average, and eight standard deviations more
+        need = -F.log(1 - F.col("n_edges") / F.col("_pairs")) * F.col("_pairs") / F.col("n_edges") / (1 - 1 / F.col("n_nodes"))
+        each = need * (1 + 8 / F.sqrt("n_edges")) * copies
+        share = F.pmod(F.xxhash64(F.lit(seed), F.lit(4), "src", "dst"), F.lit(1 << 20)) / (1 << 20)
+        draws = F.floor(each + share).cast("int")
+        drawn = _replicated(edges.join(size.filter("NOT _dense"), by).withColumn("_d", draws).filter("_d > 0"), reps).select(
+            *key, "n_edges", "n_nodes", "src", "dst", F.explode(F.expr("sequence(1, _d)")).alias("_c"))
         pick = lambda tag: F.pmod(F.xxhash64(F.lit(seed), F.lit(tag), "rep", "src", "dst", "_c"), F.col("n_nodes"))
         sparse = drawn.select(*key, "n_edges", pick(1).alias("_a"), pick(2).alias("_b"),
                               F.xxhash64(F.lit(seed), F.lit(3), "rep", "src", "dst", "_c").alias("_prio")).filter("_a <> _b")

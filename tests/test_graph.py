@@ -168,3 +168,14 @@ def test_paths_of_two_edges_are_no_rows(spark, graphs):
     up = spark.createDataFrame([(0, 1), (1, 2), (0, 2)], "low long, high long")
     plan = trianglecells.triangle_counts(up, 3)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
+
+
+def test_random_graphs_draw_few_more_pairs_than_they_keep(spark, monkeypatch):
+    rnd = random.Random(6)
+    pairs = sorted({tuple(sorted(rnd.sample([f"{i:04d}" for i in range(2000)], 2))) for _ in range(10_000)})
+    edges = frame(spark, {"wide": pairs})
+    ranked, plain = [], nullmodels.rank_within
+    monkeypatch.setattr(nullmodels, "rank_within", lambda df, by, order, name: ranked.append(df.count()) or plain(df, by, order, name))
+    out = nullmodels.random_graphs(endpoints(edges, ["g"]), edges, ["g"], 1).collect()
+    assert len(out) == len({(r["src"], r["dst"]) for r in out}) == len(pairs)
+    assert max(ranked) < 1.2 * len(pairs)
