@@ -8,15 +8,19 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestat.operators.frames import rank_within
+from lodestat.operators.frames import endpoints, rank_within
 from lodestat.operators.graph import average_clustering, network_stats
-from lodestat.session import cut, release
+from lodestat.operators.ordering import number_rows
+from lodestat.session import cut, release, ship
 
-# Edges paired off together; hashing spreads them evenly, so a bucket stays about this size.
-_BUCKET = 64
+# Edges of a cell, about, and how often they are paired off before the colours change.
+_CELL = 1 << 20
+_PAIRINGS = 4
 
 
 def _replicated(df: DataFrame, reps: int) -> DataFrame:
@@ -68,45 +72,59 @@ def swap_rounds(n_edges: int) -> int:
     return max(1, 2 * round(math.log(max(n_edges, 2))))
 
 
-def _round(state: DataFrame, key: list[str], n: int, seed: int) -> DataFrame:
-    """One round of parallel swaps; edges carry running tallies ``proposed`` and ``swapped``."""
-    h = F.xxhash64(F.lit(seed), F.lit(n), *[F.col(k) for k in key], "src", "dst")
-    buckets = state.withColumn("_h", h).withColumn(
-        "_bucket", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("_h")), F.ceil(F.col("n_edges") / _BUCKET)))
-    rows = buckets.groupBy(*key, "n_edges", "_bucket").agg(
-        F.sort_array(F.collect_list(F.struct("_h", "src", "dst", "proposed", "swapped"))).alias("e"))
-    # neighbours in hash order are partners: positions 0-1, 2-3, ...; an odd last one rests
-    partners = F.transform(F.sequence(F.lit(0), F.size("e") - 1, F.lit(2)), lambda i: F.struct(
-        F.get("e", i).alias("p"), F.get("e", i + 1).alias("q")))
-    pair = rows.select(*key, "n_edges", F.explode(partners).alias("_two")).select(*key, "n_edges", "_two.p", "_two.q")
-    flip = F.pmod(F.xxhash64(F.lit(seed + 2), F.col("p._h"), F.col("q._h")), F.lit(2)) == 0
-    c = F.when(flip, F.col("q.src")).otherwise(F.col("q.dst"))
-    d = F.when(flip, F.col("q.dst")).otherwise(F.col("q.src"))
-    a, b = F.col("p.src"), F.col("p.dst")
-    apart = F.col("q").isNotNull() & (a != c) & (a != d) & (b != c) & (b != d)
-    pair = pair.select(
-        *key, "n_edges", "p", "q", F.col("q").isNotNull().alias("proposed"), F.coalesce(apart, F.lit(False)).alias("ok"),
-        F.struct(F.least(a, d).alias("src"), F.greatest(a, d).alias("dst")).alias("n1"),
-        F.struct(F.least(c, b).alias("src"), F.greatest(c, b).alias("dst")).alias("n2"))
-    fresh = pair.filter("ok").select(*key, F.col("p._h").alias("pid"), F.inline(F.array("n1", "n2")))
-    # an edge that exists already, or that two proposals make, spoils all of its proposals
-    marked = fresh.select(*key, "src", "dst").unionByName(state.select(*key, "src", "dst"))
-    clash = marked.groupBy(*key, "src", "dst").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-    spoiled = fresh.join(clash, [*key, "src", "dst"], "left_semi").select(*key, "pid").distinct().withColumn("_bad", F.lit(True))
-    done = pair.withColumn("pid", F.col("p._h")).join(spoiled, [*key, "pid"], "left")
-    swapped = F.col("ok") & F.col("_bad").isNull()
-    old = F.struct(F.col("p.src").alias("src"), F.col("p.dst").alias("dst"))
-    old2 = F.when(F.col("q").isNotNull(), F.struct(F.col("q.src").alias("src"), F.col("q.dst").alias("dst")))
-    hit = lambda c: F.coalesce(c, F.lit(False)).cast("bigint")
-    # the first edge of a pair carries the pair's tally on
-    new_rows = F.array(
-        F.struct(F.when(swapped, F.col("n1")).otherwise(old).alias("e"),
-                 (F.col("p.proposed") + hit(F.col("proposed"))).alias("proposed"),
-                 (F.col("p.swapped") + hit(swapped)).alias("swapped")),
-        F.struct(F.when(swapped, F.col("n2")).otherwise(old2).alias("e"),
-                 F.col("q.proposed").alias("proposed"), F.col("q.swapped").alias("swapped")))
-    return done.select(*key, "n_edges", F.explode(new_rows).alias("r")).filter("r.e IS NOT NULL").select(
-        *key, "n_edges", "r.e.src", "r.e.dst", "r.proposed", "r.swapped")
+def _round(state: DataFrame, key: list[str], n: int, pairings: int, seed: int) -> DataFrame:
+    """A few pairings of parallel swaps; edges carry running tallies ``proposed`` and ``swapped``.
+
+    Nodes get one of c colours, anew in each round, and a cell has all edges of two colours.  A swap of two
+    edges of a cell makes edges of the same cell, so whether they exist is known inside the task.
+    """
+    c = F.ceil(F.sqrt(2 * F.col("n_edges") / _CELL))
+    colour = [F.pmod(F.xxhash64(F.lit(seed + 1), F.lit(n), end), c) for end in ("src", "dst")]
+    ends = state.withColumn("_s", colour[0]).withColumn("_d", colour[1])
+    cells = ends.withColumn("_cell", F.least("_s", "_d") * c + F.greatest("_s", "_d")).withColumn("_turned", F.col("_s") > F.col("_d")).withColumn(
+        "_one", F.col("_s") == F.col("_d")).withColumn("_number", F.xxhash64(F.lit(seed), F.lit(n), *key, "_cell"))
+    names = [f.name for f in state.schema.fields]
+
+    def run(table):
+        column = lambda name: table.column(name).to_numpy()
+        src, dst, done, ok = swap_cell(column("src"), column("dst"), column("_turned"), column("_one")[0], pairings, int(column("_number")[0]) & (2**63 - 1))
+        tally = {name: np.zeros(len(src), "int64") for name in ("proposed", "swapped")}
+        for name, more in (("proposed", done), ("swapped", ok)):
+            tally[name][0] = column(name).sum() + more  # the first edge carries the cell's tally on
+        new = {"src": src, "dst": dst, **tally}
+        return pa.table({name: pa.array(new[name]) if name in new else table.column(name) for name in names})
+
+    return cells.groupBy(*key, "_cell").applyInArrow(run, state.schema)
+
+
+def swap_cell(src: np.ndarray, dst: np.ndarray, turned: np.ndarray, one: bool, pairings: int, number: int) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """The edges of a cell after ``pairings`` rounds of swaps, the swaps proposed and those made.
+
+    ``turned``: the edge's first colour is at ``dst``; with ``one`` colour an edge may be taken either way.
+    A proposal fails if an edge that it makes is a loop, exists, or is made by another one too.
+    """
+    random = np.random.default_rng(number)
+    names = np.unique(np.concatenate([src, dst]))
+    src, dst = np.searchsorted(names, src), np.searchsorted(names, dst)
+    a, b = np.where(turned, dst, src), np.where(turned, src, dst)
+    number_of = lambda x, y: np.minimum(x, y) * len(names) + np.maximum(x, y)
+    done = made = 0
+    for _ in range(pairings):
+        order = random.permutation(len(a))[:len(a) // 2 * 2].reshape(-1, 2)
+        if one:
+            flip = random.random(len(a)) < 0.5
+            a, b = np.where(flip, b, a), np.where(flip, a, b)
+        p, q = order[:, 0], order[:, 1]
+        done += len(p)
+        fine = (a[p] != a[q]) & (b[p] != b[q]) & (a[p] != b[q]) & (a[q] != b[p])
+        p, q = p[fine], q[fine]
+        fresh = np.concatenate([number_of(a[p], b[q]), number_of(a[q], b[p])])
+        _, at, times = np.unique(np.concatenate([number_of(a, b), fresh]), return_inverse=True, return_counts=True)
+        alone = (times[at] == 1)[len(a):].reshape(2, -1).all(0)
+        p, q = p[alone], q[alone]
+        b[p], b[q] = b[q], b[p]
+        made += len(p)
+    return names[np.minimum(a, b)], names[np.maximum(a, b)], done, made
 
 
 def swapped_graphs(edges: DataFrame, by: list[str], reps: int, rounds: int | None = None, seed: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -117,20 +135,33 @@ def swapped_graphs(edges: DataFrame, by: list[str], reps: int, rounds: int | Non
     """
     by = list(by)
     key = [*by, "rep"]
+    spark = edges.sparkSession
+    ship(spark)
     size = edges.groupBy(*by).agg(F.count(F.lit(1)).alias("n_edges"))
     largest = size.agg(F.max("n_edges")).first()[0] or 0
     zero = F.lit(0).cast("bigint")
-    state = cut(_replicated(edges.select(*by, "src", "dst").join(size, by), reps)
-                .withColumn("proposed", zero).withColumn("swapped", zero))
+    # numbers in the order of the names, which return at the end
+    ids = cut(number_rows(endpoints(edges, by), [*by, "node"], "id"))
+    ends = [ids.select(*by, F.col("node").alias(end), F.col("id").alias(f"_{end}")) for end in ("src", "dst")]
+    numbered = edges.select(*by, "src", "dst").join(ends[0], [*by, "src"]).join(ends[1], [*by, "dst"]).select(
+        *by, F.col("_src").alias("src"), F.col("_dst").alias("dst"))
+    state = cut(_replicated(numbered.join(size, by), reps).withColumn("proposed", zero).withColumn("swapped", zero))
     # a graph stops at its own number of rounds
     own = F.greatest(F.lit(1), 2 * F.bround(F.log(F.greatest("n_edges", F.lit(2))), 0))
-    for n in range(swap_rounds(largest) if rounds is None else rounds):
+    total, n = swap_rounds(largest) if rounds is None else rounds, 0
+    stops = {total} if rounds is not None else {total} | {swap_rounds(r[0]) for r in size.select("n_edges").groupBy(own.alias("_r")).agg(
+        F.max("n_edges").alias("n_edges")).select("n_edges").collect()}  # one row per number of rounds
+    while n < total:
+        step = min(_PAIRINGS, min(x for x in stops if x > n) - n)
         due = F.lit(n) < own if rounds is None else F.lit(True)
-        state, old = cut(_round(state.filter(due), key, n, seed).unionByName(state.filter(~due))), state
+        state, old = cut(_round(state.filter(due), key, n, step, seed).unionByName(state.filter(~due))), state
         release(old)
+        n += step
     share = state.groupBy(*key).agg(F.sum("proposed").alias("proposed"), F.sum("swapped").alias("swapped")).withColumn(
         "accepted_share", F.coalesce(F.try_divide("swapped", "proposed"), F.lit(0.0)))
-    return state.select(*key, "src", "dst"), share
+    back = [ids.select(F.col("id").alias(end), F.col("node").alias(f"_{end}")) for end in ("src", "dst")]
+    named = state.join(back[0], "src").join(back[1], "dst")
+    return named.select(*key, F.col("_src").alias("src"), F.col("_dst").alias("dst")), share
 
 
 def clustering_significance(nodes: DataFrame, edges: DataFrame, by: list[str], reps: int = 100,
@@ -157,7 +188,6 @@ def clustering_significance(nodes: DataFrame, edges: DataFrame, by: list[str], r
 
 def _mean_clustering(edges: DataFrame, key: list[str], size: DataFrame, by: list[str]) -> DataFrame:
     """Average clustering over N nodes where nodes without an edge count as zero."""
-    from lodestat.operators.frames import endpoints
     from lodestat.operators.graph import local_clustering
 
     c = local_clustering(endpoints(edges, key), edges, key).groupBy(*key).agg(F.sum("c").alias("_s"))

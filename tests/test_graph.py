@@ -170,6 +170,17 @@ def test_paths_of_two_edges_are_no_rows(spark, graphs):
     assert "Join" not in plan
 
 
+def test_swaps_in_many_small_cells_keep_every_degree(spark, graphs, monkeypatch):
+    """Colours that change from round to round let edges of all cells meet."""
+    monkeypatch.setattr(nullmodels, "_CELL", 30)
+    edges = frame(spark, {"big": graphs["big"]})
+    sw, share = nullmodels.swapped_graphs(edges, ["g"], 1, rounds=9)
+    es = [(r["src"], r["dst"]) for r in sw.collect()]
+    deg = lambda x: collections.Counter(n for e in x for n in e)
+    assert deg(es) == deg(graphs["big"]) and len(set(es)) == len(es) and all(a < b for a, b in es)
+    assert len(set(es) & set(graphs["big"])) < len(es) / 2 and share.first()["accepted_share"] > 0.5
+
+
 def test_random_graphs_draw_few_more_pairs_than_they_keep(spark, monkeypatch):
     rnd = random.Random(6)
     pairs = sorted({tuple(sorted(rnd.sample([f"{i:04d}" for i in range(2000)], 2))) for _ in range(10_000)})
