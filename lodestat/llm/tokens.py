@@ -108,7 +108,7 @@ class BatchEncoder:
             # white space between pieces is nothing: leave it out, every run of it cuts
             edge = np.flatnonzero(gap[:-1] & ~gap[1:]) + 1 if len(raw) else np.zeros(0, "int64")
             cuts = np.concatenate([edge, cut_before_mark(raw), ends])
-            kept = np.cumsum(~gap)
+            kept = np.cumsum(~gap, dtype="int32" if len(raw) < 1 << 31 else "int64")
             move = lambda at: np.where(at > 0, kept[np.maximum(at, 1) - 1], 0) if len(raw) else at
             cuts, ends, raw = move(cuts), move(ends), raw[~gap]
         else:
@@ -169,7 +169,7 @@ class BatchEncoder:
         return out
 
 
-def parts(texts: pa.Array, most: int = 1 << 23) -> list[tuple[int, int]]:
+def parts(texts: pa.Array, most: int = 1 << 22) -> list[tuple[int, int]]:
     """Slices of a batch with about ``most`` bytes of text each, which bound what one call of ``encode`` holds."""
     return by_weight(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), most)
 
