@@ -38,8 +38,8 @@ def talk_network(t):
  SELECT 'directed' AS kind, lang, src, dst FROM de UNION ALL SELECT 'undirected', lang, src, dst FROM ue)
  SELECT kind, lang, src, count(*) AS n, min(dst) AS first, max(dst) AS last FROM k GROUP BY ALL""")
 def g01(t):
-    _, u = word_network(t)
     _, d = directed_network(t)
+    u = cut(frames.undirected(d, LANG))  # from distinct links, so that the texts are read once
     both = u.withColumn("kind", F.lit("undirected")).unionByName(d.withColumn("kind", F.lit("directed")))
     return both.groupBy("kind", "lang", "src").agg(F.count(F.lit(1)).alias("n"), F.min("dst").alias("first"), F.max("dst").alias("last"))
 

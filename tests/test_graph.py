@@ -190,3 +190,13 @@ def test_random_graphs_draw_few_more_pairs_than_they_keep(spark, monkeypatch):
     out = nullmodels.random_graphs(endpoints(edges, ["g"]), edges, ["g"], 1).collect()
     assert len(out) == len({(r["src"], r["dst"]) for r in out}) == len(pairs)
     assert max(ranked) < 1.2 * len(pairs)
+
+
+def test_both_word_networks_come_from_one_pass_over_the_texts(spark, monkeypatch):
+    from lodestat.plans import graphs as plans
+    links = spark.createDataFrame([("g", "b", "a"), ("g", "a", "b"), ("g", "b", "a"), ("g", "a", "a")], "lang string, src string, dst string")
+    asked = []
+    monkeypatch.setattr(plans.S, "word_links", lambda t: asked.append(t) or links)
+    got = {tuple(r) for r in plans.g01(None).collect()}
+    assert got == {("undirected", "g", "a", 1, "b", "b"), ("directed", "g", "a", 2, "a", "b"), ("directed", "g", "b", 1, "a", "a")}
+    assert len(asked) == 1
