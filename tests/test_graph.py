@@ -200,3 +200,11 @@ def test_both_word_networks_come_from_one_pass_over_the_texts(spark, monkeypatch
     got = {tuple(r) for r in plans.g01(None).collect()}
     assert got == {("undirected", "g", "a", 1, "b", "b"), ("directed", "g", "a", 2, "a", "b"), ("directed", "g", "b", 1, "a", "a")}
     assert len(asked) == 1
+
+
+def test_counters_are_never_broadcast(spark):
+    """Counters that are alike make tiny files and large tables."""
+    held = graph.cut(spark.createDataFrame([("g", "a"), ("g", "b")], "g string, node string").withColumn("s", F.lit(b"")).withColumn("size", F.lit(1.0)))
+    arcs = graph.cut(spark.createDataFrame([("g", "a", "b"), ("g", "b", "a")], "g string, node string, to string"))
+    plan = graph._merged_counters(held, arcs, ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and "Broadcast" not in plan
