@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestat.operators import simplex
+from lodestat.operators import simplex, spreading
 from lodestat.operators.spreading import FieldSpreading, Spreading, gap_history
 
 
@@ -173,3 +173,19 @@ def test_moves_without_a_table_of_pairs(spark):
     got = {r["loc"]: r["g"] for r in state.collect()}
     true = {r["loc"]: r["g"] for r in pairs.state(state.select("loc", "y")).collect()}
     assert [got[v] for v in sorted(got)] == pytest.approx([true[v] for v in sorted(got)], abs=1e-9)
+
+
+def test_kernel_pairs_are_found_by_many_tasks(spark):
+    """Few bytes make many pairs: the join is dealt by rows, and finds what brute force finds."""
+    rng = np.random.default_rng(3)
+    at = np.round(np.column_stack([rng.uniform(-4, 9, 700), rng.integers(-2, 3, 700)]), 3)
+    loc = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(at)], "loc long, x double, y double")
+    w = np.exp(-((at[:, None] - at[None]) ** 2).sum(2) / (2 * 0.3 * 0.3))
+    want = {(int(a), int(b)) for a, b in zip(*np.nonzero(w > spreading.EPSILON))}
+    for rows in (spreading._ROWS, 50):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(spreading, "_ROWS", rows)
+            edges = spreading.kernel_edges(loc, loc, ["x", "y"], 0.3)
+            got = edges.withColumn("task", F.spark_partition_id()).collect()
+        assert len(got) == len(want) and {(r["a"], r["b"]) for r in got} == want
+        assert rows > 50 or len({r["task"] for r in got}) > 4
