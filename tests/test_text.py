@@ -214,3 +214,18 @@ def test_heads_in_long_and_odd_sentences(spark):
     got = treebank.head_pairs(spark.createDataFrame([("x", odd), ("y", long)], kind)).collect()
     assert sorted((r["head_word"], r["child_word"]) for r in got if r["lang"] == "x") == [("a", "c"), ("b", "a"), ("b", "e")]
     assert {(r["head_word"], r["child_word"]) for r in got if r["lang"] == "y"} == {(f"w{i // 2}", f"w{i}") for i in range(2, 20_001)}
+
+
+def test_bigram_model_reads_the_texts_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def words(text):
+        read.add(1)
+        return text.split() if text is not None else None
+
+    docs = spark.createDataFrame([("a b a b",), ("c",), ("",), (None,)], "text string").select(words.asNondeterministic()("text").alias("w"))
+    c2, c1, size = X.bigram_model(docs, "w")
+    assert {tuple(r) for r in c2.collect()} == {("a", "b", 2), ("b", "a", 1)}
+    assert {tuple(r) for r in c1.collect()} == {("a", 2), ("b", 2), ("c", 1)}
+    assert tuple(size.first()) == (5, 3) and read.value == 4
