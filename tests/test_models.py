@@ -236,3 +236,21 @@ def test_user_model_batches(spark):
         return [1.0 if "good" in x else 0.0 for x in texts]
     out = classify_batches(df, "t", model, {0: "no", 1: "yes"}, batch=16).groupBy("predicted").count().collect()
     assert dict(out) == {"yes": 40, "no": 40}
+
+
+def test_newton_steps_do_not_read_the_texts_again(spark, monkeypatch):
+    from lodestat.plans import classes
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def read(x):
+        seen.add(1)
+        return x
+
+    rows = [(i, i % 3 % 2, float(i % 7)) for i in range(60)]
+    d = spark.createDataFrame(rows, "doc_id long, quality int, avg_len double").withColumn("avg_len", read("avg_len"))
+    monkeypatch.setattr(classes, "scored", lambda t: d)
+    got = classes.l07b(None).collect()
+    assert len(got) == 60 and all(0 < r["prob"] < 1 for r in got)
+    assert seen.value == 60
