@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestat.operators import distfit
+from lodestat.operators.linkdegrees import link_degrees
 from lodestat.plans import standins as S
 from lodestat.plans.graphs import LANG
 from lodestat.plans.registry import query
@@ -14,8 +15,7 @@ from lodestat.session import cut
 
 def out_degrees(t):
     """Out-degrees above zero: every node of a link is counted where it is the source."""
-    links = S.word_links(t).distinct()
-    return cut(links.groupBy(*LANG, "src").agg(F.count(F.lit(1)).alias("degree")).select(*LANG, "degree"))
+    return cut(link_degrees(S.document_words(t), "lang", "words", directed=True).select(*LANG, "degree"))
 
 
 _STATS_SQL = f"""{S.DEDGES_SQL}, deg AS (SELECT lang, src, count(*) AS k FROM de GROUP BY ALL),
