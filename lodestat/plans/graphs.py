@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestat.operators import frames, graph, nullmodels
+from lodestat.operators.linkdegrees import link_degrees
 from lodestat.plans import standins as S
 from lodestat.plans.registry import query
 from lodestat.plans.tabular import r
@@ -47,14 +48,17 @@ def g01(t):
 @query("g02_network_stats", f"""WITH {S.UEDGES_SQL}, n AS (SELECT lang, count(*) AS n_nodes FROM un GROUP BY 1), e AS (SELECT lang, count(*) AS n_edges FROM ue GROUP BY 1)
  SELECT lang, n_nodes, n_edges, round(2 * n_edges / n_nodes, 6) AS mean_degree, round(2.0 * n_edges / (n_nodes * (n_nodes - 1)), 9) AS density FROM n JOIN e USING (lang)""")
 def g02(t):
-    return graph.network_stats(*word_network(t), LANG).select("lang", "n_nodes", "n_edges", r("mean_degree").alias("mean_degree"), r("density", 9).alias("density"))
+    # each edge is counted at both of its ends
+    deg = cut(link_degrees(S.document_words(t), "lang", "words", directed=False))
+    stats = deg.groupBy(*LANG).agg(F.count(F.lit(1)).alias("n_nodes"), (F.sum("degree") / 2).cast("bigint").alias("n_edges"))
+    return graph.with_density(stats).select("lang", "n_nodes", "n_edges", r("mean_degree").alias("mean_degree"), r("density", 9).alias("density"))
 
 
 @query("g03_degree_histogram", f"""WITH {S.DEDGES_SQL}, deg AS (SELECT lang, src, count(*) AS degree FROM de GROUP BY ALL)
  SELECT lang, degree, n, round(n / sum(n) OVER (PARTITION BY lang), 9) AS share FROM (SELECT lang, degree, count(*) AS n FROM deg GROUP BY ALL)""")
 def g03(t):
-    nodes, edges = directed_network(t)
-    return graph.degree_histogram(graph.degrees(nodes, edges, LANG, directed=True), LANG).select("lang", "degree", "n", r("share", 9).alias("share"))
+    deg = cut(link_degrees(S.document_words(t), "lang", "words", directed=True))
+    return graph.degree_histogram(deg, LANG).select("lang", "degree", "n", r("share", 9).alias("share"))
 
 
 @query("a11_degree_stats", f"""WITH {S.DEDGES_SQL}, deg AS (SELECT lang, src, count(*) AS degree FROM de GROUP BY ALL)
