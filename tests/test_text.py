@@ -229,3 +229,12 @@ def test_bigram_model_reads_the_texts_once(spark):
     assert {tuple(r) for r in c2.collect()} == {("a", "b", 2), ("b", "a", 1)}
     assert {tuple(r) for r in c1.collect()} == {("a", 2), ("b", 2), ("c", 1)}
     assert tuple(size.first()) == (5, 3) and read.value == 4
+
+
+def test_token_heads_shuffle_tokens_once_and_count_every_head(spark):
+    rows = [(1, 1, 0, "r"), (1, 2, 1, "a"), (1, 3, 1, "b"), (1, 4, 9, "no head"), (2, 5, 0, "s"), (2, 7, 5, "c"), (2, 7, 5, "d"), (2, 8, 7, "e")]
+    t = spark.createDataFrame(rows, "s int, i int, h int, w string").repartition(3)
+    got = treebank.token_heads(t, ["s"], "i", "h", "w")
+    assert sorted(tuple(r) for r in got.collect()) == [
+        (1, "r", "a"), (1, "r", "b"), (2, "c", "e"), (2, "d", "e"), (2, "s", "c"), (2, "s", "d")]
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
