@@ -189,3 +189,40 @@ def test_kernel_pairs_are_found_by_many_tasks(spark):
             got = edges.withColumn("task", F.spark_partition_id()).collect()
         assert len(got) == len(want) and {(r["a"], r["b"]) for r in got} == want
         assert rows > 50 or len({r["task"] for r in got}) > 4
+
+
+def test_rounds_of_a_field_reach_what_a_table_of_pairs_does(spark):
+    """One job a round, blocks as rows: norm and optimum are the dense ones, with copies, crowded cells and missing coordinates."""
+    from lodestat.operators import fieldrounds
+
+    rng = np.random.default_rng(11)
+    xy = np.concatenate([rng.uniform(0, 12, (110, 2)), rng.uniform(3, 3.15, (60, 2)), rng.uniform(-9, -8, (20, 2))])
+    xy[100:106] = xy[0]
+    rows = [(i, float(a), float(b), (1 if i % 2 else -1) if i % 7 == 0 else None) for i, (a, b) in enumerate(xy)]
+    rows += [(900, None, 2.0, None), (901, 3.0, None, None), (902, None, None, None)]
+    df = spark.createDataFrame(rows, "id bigint, x double, y double, label int")
+    s = FieldSpreading(df, ["x", "y"], 0.7, 0.4, alpha=0.2)
+    nodes = s.nodes.orderBy("loc").toPandas()
+    x, y, u, e, b = (nodes[c].to_numpy(float) for c in ("_at0", "_at1", "u", "e", "b"))
+    q = -2 * np.nan_to_num(np.exp(-((x[:, None] - x) ** 2 + (y[:, None] - y) ** 2) / (2 * 0.16))) * u + np.diag(e + 2 * u)
+    assert np.isnan(x).sum() == 2 and u.max() > 1
+    best = np.linalg.solve(q, -b)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(fieldrounds, "CHUNK", 30)
+        m.setattr(fieldrounds, "BLOCK", 25)
+        jobs = spark.sparkContext.statusTracker()
+        spark.sparkContext.setJobGroup("rounds", "rounds")
+        got, f, used = s.solve(tol=1e-7)
+        done = len(jobs.getJobIdsForGroup("rounds"))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        norm = s.spectral_norm(tol=1e-4)
+    # a round is a product, its sums and no more; adaptive execution runs each shuffle as a job
+    assert 0 < used < 60 and done < 6 * used + 40
+    assert [r["y"] for r in got.orderBy("loc").collect()] == pytest.approx(best.tolist(), abs=1e-5)
+    assert f == pytest.approx((u * best * (q @ best)).sum() / 2 + (u * b * best).sum(), rel=1e-9)
+    top = max(np.linalg.eigvalsh(np.sqrt(u)[:, None] * q / np.sqrt(u)).max(), (nodes["d"][nodes["u"] > 1] + 2).max())
+    assert top * (1 - 1e-12) <= norm <= top * (1 + 2e-4)
+    # where a tile is too dense for a row, the rounds go over kernel sums as before
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(fieldrounds, "PLACES", 10)
+        assert fieldrounds.FieldRounds.of(s.nodes, s.AT, 0.4, ["b"]) is None
