@@ -1,4 +1,6 @@
+import gzip
 import math
+import os
 
 import numpy as np
 import pytest
@@ -238,3 +240,24 @@ def test_token_heads_shuffle_tokens_once_and_count_every_head(spark):
     assert sorted(tuple(r) for r in got.collect()) == [
         (1, "r", "a"), (1, "r", "b"), (2, "c", "e"), (2, "d", "e"), (2, "s", "c"), (2, "s", "d")]
     assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_treebank_is_written_small_and_documents_that_share_a_key_are_one_sentence(spark, tmp_path):
+    from lodestat.plans import inputs
+    from lodestat.plans.registry import QUERIES, Tables
+
+    texts = {(1, "en"): ["a b c d"], (2, "en"): ["b a", "c d b"], (2, "de"): ["b b a"], (None, "en"): ["a a", "d"], (3, "en"): [""], (4, "en"): [None]}
+    rows = [(k, lang, x, "s", 1) for (k, lang), some in texts.items() for x in some]
+    rows += [(10 + i, "fr", "un deux trois quatre " * 100, "s", 1) for i in range(20)]
+    spark.createDataFrame(rows, "doc_id long, lang string, text string, source string, n_chars int").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    path = inputs.write_treebank(Tables(spark, str(tmp_path))).removeprefix("file:")
+    files = [os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.startswith("part-")]
+    assert len({os.path.dirname(f) for f in files}) == 3 and sum(map(os.path.getsize, files)) < 20 * 400 * 10
+    blocks = [b for f in files for b in gzip.open(f, "rt").read().split("\n\n") if b and "lang=en" in f]
+    # every sentence of a key once, in order of place and word; a null number writes no sentence
+    want = {"1": "a b c d", "2": "b c a d b"}
+    got = {b.split("\n")[0].removeprefix("# doc "): " ".join(x.split("\t")[1] for x in b.split("\n")[2:]) for b in blocks}
+    assert got == want and len(blocks) == 2
+    counts = {(r["lang"], r["head_word"]): r["n_dependents"] for r in QUERIES["s09_head_counts"](spark, str(tmp_path)).collect()}
+    assert sum(v for (lang, _), v in counts.items() if lang == "fr") == 20 * 399
+    assert counts["en", "a"] == 2 and sum(v for (lang, _), v in counts.items() if lang == "en") == 3 + 3
